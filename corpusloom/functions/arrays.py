@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 IGNORED = -100
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, also inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def find_pattern(ids: Column, pattern: list[int]) -> Column:
     """First index at which ``pattern`` starts in ``ids``, else -1."""
     m = len(pattern)
@@ -29,11 +34,14 @@ def response_labels(ids: Column, pattern: list[int], strict: bool = True) -> Col
 
     Without the marker: an error, or null if not ``strict``.
     """
-    start = find_pattern(ids, pattern)
-    masked = start + len(pattern)
-    labels = F.concat(F.array_repeat(F.lit(IGNORED), masked), F.slice(ids, masked + 1, F.size(ids)))
     missing = F.raise_error(F.lit("response marker not found in token ids")).cast("array<int>")
-    return F.when(start >= 0, labels).otherwise(missing if strict else F.lit(None))
+
+    def masked(start: Column) -> Column:
+        n = start + len(pattern)
+        labels = F.concat(F.array_repeat(F.lit(IGNORED), n), F.slice(ids, n + 1, F.size(ids)))
+        return F.when(start >= 0, labels).otherwise(missing if strict else F.lit(None))
+
+    return bind(find_pattern(ids, pattern), masked)
 
 
 def attention_mask(ids: Column) -> Column:
@@ -87,11 +95,6 @@ def pad_right(values: Column, length: Column, fill: int) -> Column:
     return F.concat(values, F.array_repeat(F.lit(fill), length - F.size(values)))
 
 
-def bind(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, also inside a lambda."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def array_sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
 

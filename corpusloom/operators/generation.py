@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.arrays import bind
 from corpusloom.operators.positions import repeatable_hash, unit_number
 from corpusloom.session import collect_bounded, materialize
 
@@ -66,7 +67,7 @@ def generate(
     prompt_id: str = "prompt_id",
     current: str = "current",
     group: tuple[str, ...] = (),
-    durable_every: int = 25,
+    durable_every: int = 10,
 ) -> DataFrame:
     """Add ``generated``: up to ``max_tokens`` tokens drawn one after the other.
 
@@ -76,35 +77,23 @@ def generate(
     and a hot token in a shuffled join is split by adaptive execution. Draws
     depend on (seed, prompt, step) only. A token without successor ends the text.
     """
-    model = materialize(packed, "next-token").withColumnRenamed("prev", "_prev")
+    model = materialize(packed, "next-token").withColumnsRenamed({g: f"_{g}" for g in ("prev", *group)})
     limit = F.lit(max_tokens) if not isinstance(max_tokens, Column) else max_tokens
     state = prompts.withColumns(
         {"_current": F.col(current), "_limit": limit, "generated": F.array().cast("array<string>")}
     )
     carried = state.columns
+    matches = [F.col("_current") == F.col("_prev"), *[F.col(g) == F.col(f"_{g}") for g in group]]
     for step in range(steps):
-        matched = state.join(
-            model.withColumnsRenamed({g: f"_{g}" for g in group}),
-            [F.col("_current") == F.col("_prev"), *[F.col(g) == F.col(f"_{g}") for g in group]],
-            "left",
-        )
         draw = unit_number(repeatable_hash(seed, prompt_id, F.lit(step)))
-        index = F.least(
-            F.size(F.filter("_cums", lambda c: c <= F.col("_draw"))), F.size("_cums") - 1
-        )
-        state = (
-            matched.withColumn("_draw", draw)
-            .withColumn("_next", F.when(F.lit(step) < F.col("_limit"), F.get("_tokens", index)))
-            .withColumns(
-                {
-                    "generated": F.when(
-                        F.col("_next").isNotNull(), F.concat("generated", F.array("_next"))
-                    ).otherwise(F.col("generated")),
-                    "_current": F.col("_next"),
-                }
-            )
-            .select(*carried)
+        below = bind(draw, lambda u: F.size(F.filter("_cums", lambda c: c <= u)))
+        token = F.get("_tokens", F.least(below, F.size("_cums") - 1))
+        drawn = state.join(model, matches, "left").select(
+            *[c for c in carried if c != "_current"],
+            F.when(F.lit(step) < F.col("_limit"), token).alias("_current"),
         )
+        added = F.concat("generated", F.array_compact(F.array("_current")))
+        state = drawn.select(*[added.alias(c) if c == "generated" else c for c in carried])
         if (step + 1) % durable_every == 0 and step + 1 < steps:
             state = materialize(state, "generated")
     return state.drop("_current", "_limit")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,58 +31,48 @@ BLEU_PATTERNS = (
 )
 
 
-def bleu_tokens(text: Column) -> Column:
-    """Tokens of a text under the metric's default tokenization."""
+def bleu_normal_form(text: Column) -> Column:
+    """A text whose white-space separated parts are the metric's default tokens."""
     for old, new in BLEU_LITERALS:
         text = F.replace(text, F.lit(old), F.lit(new))
     text = F.concat(F.lit(" "), text, F.lit(" "))
     for pattern, replacement in BLEU_PATTERNS:
         text = F.regexp_replace(text, pattern, replacement)
-    return F.filter(F.split(text, r"(?U)[\s\x1c-\x1f]+"), lambda t: t != "")
+    return text
 
 
-def _grams(tokens: Column, order: int) -> Column:
-    """All n-grams of one order as space-joined strings; tokens hold no space."""
-    if order == 1:
-        return tokens
-    grams = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(tokens) - order + 1, F.lit(1))),
-        lambda i: F.array_join(F.slice(tokens, i, order), " "),
-    )
-    return F.when(F.size(tokens) >= order, grams).otherwise(F.array().cast("array<string>"))
+@F.pandas_udf("struct<matched:array<bigint>,total:array<bigint>,reference:bigint>")
+def clipped_counts(prediction: pd.Series, reference: pd.Series) -> pd.DataFrame:
+    """Per row and n-gram order: predicted n-grams, and those the reference has as often."""
+    rows = []
+    for left, right in zip(prediction, reference):
+        p, r = left.split(), right.split()
+        matched, total = [], []
+        for n in range(1, MAX_ORDER + 1):
+            have, want = (Counter(zip(*[tokens[i:] for i in range(n)])) for tokens in (p, r))
+            matched.append(sum((have & want).values()))
+            total.append(max(len(p) - n + 1, 0))
+        rows.append((matched, total, len(r)))
+    return pd.DataFrame(rows, columns=["matched", "total", "reference"])
 
 
-def corpus_bleu(df: DataFrame, key: list[str], prediction: str, reference: str) -> DataFrame:
+def corpus_bleu(df: DataFrame, prediction: str, reference: str) -> DataFrame:
     """One row: BLEU of the corpus and its parts. One reference per row, no smoothing.
 
-    Predicted and reference n-grams are counted in one aggregation keyed by
-    row and n-gram, so there is one shuffle and no join; the key is never hot
-    because it holds the row's own key.
+    N-grams match within a row only, so each row is reduced to nine numbers
+    where it is, and only sums are shuffled. Grouping by (row, n-gram) would
+    turn every text into eight times as many shuffled rows as it has words.
     """
-    sides = F.array(
-        F.struct(F.lit(1).alias("is_p"), bleu_tokens(F.col(prediction)).alias("tokens")),
-        F.struct(F.lit(0).alias("is_p"), bleu_tokens(F.col(reference)).alias("tokens")),
-    )
-    tokened = df.select(*key, F.explode(sides).alias("s")).select(*key, "s.is_p", "s.tokens")
-    orders = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(n).alias("n"), _grams(F.col("tokens"), n).alias("grams"))
-                for n in range(1, MAX_ORDER + 1)
-            ]
-        )
-    )
-    grams = (
-        tokened.select(*key, "is_p", orders.alias("o"))
-        .select(*key, "is_p", F.col("o.n").alias("n"), F.explode("o.grams").alias("gram"))
-        .groupBy(*key, "n", "gram")
-        .agg(F.sum("is_p").alias("p"), F.sum(1 - F.col("is_p")).alias("r"))
+    counts = df.select(
+        clipped_counts(bleu_normal_form(F.col(prediction)), bleu_normal_form(F.col(reference))).alias("c")
     )
-    of_order = lambda column, n: F.coalesce(F.sum(F.when(F.col("n") == n, column)), F.lit(0))
-    totals = grams.agg(
-        *[of_order(F.least("p", "r"), n).alias(f"m{n}") for n in range(1, MAX_ORDER + 1)],
-        *[of_order(F.col("p"), n).alias(f"t{n}") for n in range(1, MAX_ORDER + 1)],
-        of_order(F.col("r"), 1).alias("reference_length"),
+    totals = counts.agg(
+        *[
+            F.coalesce(F.sum(F.col(f"c.{part}")[n - 1]), F.lit(0)).alias(f"{letter}{n}")
+            for part, letter in (("matched", "m"), ("total", "t"))
+            for n in range(1, MAX_ORDER + 1)
+        ],
+        F.coalesce(F.sum("c.reference"), F.lit(0)).alias("reference_length"),
     )
     precisions = {
         f"precision_{n}": F.when(F.col(f"t{n}") > 0, F.col(f"m{n}") / F.col(f"t{n}")).otherwise(0.0)
@@ -131,5 +124,9 @@ def loss_history(df: DataFrame, step: str, every: int) -> DataFrame:
 def metrics_report(*parts: DataFrame) -> DataFrame:
     """One record with the columns of all one-row metric frames."""
     first, rest = parts[0], parts[1:]
-    more = [part.select(name).scalar().alias(name) for part in rest for name in part.columns]
-    return first.select("*", *more)
+    # One scalar subquery per part, as a struct, so each part is computed once.
+    names = [f"_part{i}" for i in range(len(rest))]
+    whole = first.select(
+        "*", *[part.select(F.struct("*")).scalar().alias(name) for part, name in zip(rest, names)]
+    )
+    return whole.select(*first.columns, *[f"{name}.*" for name in names])

@@ -49,6 +49,11 @@ def running_total(
     )
 
 
+def whole_div(column: Column, size: int) -> Column:
+    """Integer quotient, exact for every long (``/`` would go through a double)."""
+    return F.call_function("div", column, F.lit(size).cast("long"))
+
+
 def repeatable_hash(seed: int | str, *parts: Column | str) -> Column:
     """32 hex digits that depend only on the seed and the key, in any engine."""
     columns = [F.col(p) if isinstance(p, str) else p for p in parts]

@@ -80,9 +80,14 @@ def to_training_form(
     return df.select(checked_messages(df, question, answer, extra, system).alias("messages"))
 
 
-def min_length(df: DataFrame, ids: str, block: int) -> DataFrame:
-    """Rows long enough for one block and its shifted target."""
-    return df.where(F.size(ids) >= block + 1)
+def min_length(df: DataFrame, length: Column, block: int) -> DataFrame:
+    """Rows long enough for one block and its shifted target.
+
+    ``length`` is the number of tokens. Where it is known without encoding (the
+    length of a text in characters), pass that and filter first: a filter on the
+    size of an encoded array would encode once to filter and once to keep.
+    """
+    return df.where(length >= block + 1)
 
 
 def reply_pairs(turns: DataFrame, key: str = "conv_id", turn: str = "turn") -> DataFrame:

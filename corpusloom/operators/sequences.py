@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import IGNORED, context_targets, pad_right
-from corpusloom.operators.positions import Cut, hash_integer, repeatable_hash, running_total
+from corpusloom.operators.positions import Cut, hash_integer, repeatable_hash, running_total, whole_div
 
 
 def stream_offsets(
@@ -93,7 +93,7 @@ def token_stream(
         offsets.select(*order_by, "offset", "length").where(F.col("length") > 0), order_by
     )
     end = F.col("offset") + F.col("length")
-    first, last = F.floor(F.col("offset") / chunk), F.floor((end - 1) / chunk)
+    first, last = whole_div(F.col("offset"), chunk), whole_div(end - 1, chunk)
 
     def piece(c: Column) -> Column:
         low = F.greatest(c * chunk, F.col("offset"))
@@ -152,7 +152,7 @@ def random_blocks(
     start = F.lit(low) + F.pmod(hash_integer(repeatable_hash(seed, "sample_id")), F.lit(span))
     starts = spark.range(count).withColumnRenamed("id", "sample_id").withColumn("start", start)
     end = F.col("start") + block + 1  # one token more than x, for y
-    cell = lambda column: F.floor(column / grid)
+    cell = lambda column: whole_div(column, grid)
     starts = starts.select(
         "sample_id", "start", F.explode(F.sequence(cell(F.col("start")), cell(end - 1))).alias("cell")
     )

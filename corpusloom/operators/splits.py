@@ -15,6 +15,7 @@ from corpusloom.operators.positions import (
     repeatable_hash,
     row_at,
     running_total,
+    whole_div,
 )
 
 
@@ -69,7 +70,7 @@ def seq_batches(keys: DataFrame, order_by: list[str], batch_size: int) -> DataFr
     numbered = running_total(keys, order_by)
     return numbered.withColumns(
         {
-            "batch_id": F.floor(F.col("row_index") / batch_size).cast("long"),
+            "batch_id": whole_div(F.col("row_index"), batch_size),
             "row_in_batch": F.pmod("row_index", F.lit(batch_size)).cast("int"),
         }
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import dot, softmax
+from corpusloom.operators.positions import whole_div
 
 
 def causal_mean(
@@ -21,7 +22,7 @@ def causal_mean(
     wide = df.select(
         seq,
         pos,
-        F.floor(F.col(pos) / block).alias("_block"),
+        whole_div(F.col(pos), block).alias("_block"),
         *[F.col(vector)[i].cast("double").alias(c) for i, c in enumerate(cells)],
     )
     before = Window.partitionBy(seq).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -67,7 +68,7 @@ def similar_history(
     it belongs to, so no pairs of rows are produced.
     """
     frame = (
-        Window.partitionBy(seq, F.floor(F.col(pos) / block))
+        Window.partitionBy(seq, whole_div(F.col(pos), block))
         .orderBy(pos)
         .rowsBetween(-(block - 1), Window.currentRow)
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.chat import instruction_messages, render
 from corpusloom.functions.text import encode_chars
-from corpusloom.operators.rows import reply_pairs
+from corpusloom.operators.rows import min_length, reply_pairs
 from corpusloom.operators.vocabulary import char_codes, char_vocab
 from corpusloom.sources.tables import load_table
 
@@ -17,21 +17,26 @@ VECTOR_DIM = 64
 
 
 def documents(spark: SparkSession, root: str, *columns: str) -> DataFrame:
-    return load_table(spark, root, "documents", list(columns or ("doc_id", "text")), spread_by="doc_id")
+    return load_table(spark, root, "documents", list(columns or ("doc_id", "text")), spread_by=["doc_id"])
 
 
 def document_codes(docs: DataFrame) -> dict[str, int]:
     return char_codes(char_vocab(docs, "text"))
 
 
-def document_ids(spark: SparkSession, root: str) -> DataFrame:
-    """(doc_id, ids): every document as character ids."""
+def document_ids(spark: SparkSession, root: str, block: int | None = None) -> DataFrame:
+    """(doc_id, ids): every document as character ids, or those with room for one block.
+
+    A text has as many ids as characters, so short ones go before encoding.
+    """
     docs = documents(spark, root)
-    return docs.select("doc_id", encode_chars(F.col("text"), document_codes(docs)).alias("ids"))
+    kept = docs if block is None else min_length(docs, F.char_length("text"), block)
+    return kept.select("doc_id", encode_chars(F.col("text"), document_codes(docs)).alias("ids"))
 
 
 def conversations(spark: SparkSession, root: str) -> DataFrame:
-    return load_table(spark, root, "conversations", ["conv_id", "turn", "role", "text"])
+    columns = ["conv_id", "turn", "role", "text"]
+    return load_table(spark, root, "conversations", columns, spread_by=["conv_id", "turn"])
 
 
 def pairs(spark: SparkSession, root: str) -> DataFrame:
@@ -67,7 +72,7 @@ def vectors(spark: SparkSession, root: str) -> DataFrame:
 
 def joined(values: Column, separator: str = " ") -> Column:
     """An array as text, so results compare as plain values."""
-    return F.array_join(F.transform(values, lambda v: v.cast("string")), separator)
+    return F.array_join(values.cast("array<string>"), separator)
 
 
 def joined_doubles(values: Column, digits: int = 5) -> Column:

@@ -103,7 +103,7 @@ def document_bleu(spark, root):
     rows = documents(spark, root).select(
         "doc_id", spoiled_text(F.col("text")).alias("prediction"), F.col("text").alias("reference")
     )
-    return rounded(corpus_bleu(rows, ["doc_id"], "prediction", "reference"), ROUNDED)
+    return rounded(corpus_bleu(rows, "prediction", "reference"), ROUNDED)
 
 
 @query(
@@ -119,7 +119,7 @@ def report(spark, root):
         spoiled_text(F.col("output")).alias("prediction"),
         F.col("output").alias("reference"),
     )
-    bleu = rounded(corpus_bleu(rows, ["conv_id", "turn"], "prediction", "reference"), ROUNDED)
+    bleu = rounded(corpus_bleu(rows, "prediction", "reference"), ROUNDED)
     return metrics_report(bleu, accuracy(spark, root))
 
 

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import clean_text, keep_known_chars, naive_strip
-from corpusloom.operators.rows import map_rows, min_length, reject_reason, to_training_form
+from corpusloom.operators.rows import map_rows, reject_reason, to_training_form
 from corpusloom.operators.vocabulary import char_codes, char_vocab
 from corpusloom.plans.common import (
 
@@ -182,7 +182,7 @@ def reject_reasons(spark, root):
     f"WITH {SQL_DOC_IDS} SELECT doc_id, len(ids)::BIGINT AS n_tokens FROM enc WHERE len(ids) >= 1025",
 )
 def min_len_filter(spark, root):
-    kept = min_length(document_ids(spark, root), "ids", 1024)
+    kept = document_ids(spark, root, block=1024)
     return kept.select("doc_id", F.size("ids").cast("long").alias("n_tokens"))
 
 

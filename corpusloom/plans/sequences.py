@@ -21,7 +21,6 @@ from corpusloom.functions.arrays import (
 )
 from corpusloom.functions.chat import TURNS
 from corpusloom.functions.text import encode_chars
-from corpusloom.operators.rows import min_length
 from corpusloom.operators.sequences import (
     context_rows,
     pad_batches,
@@ -140,7 +139,7 @@ def truncated(spark, root):
 )
 def shift_pairs(spark, root):
     ids = F.col("ids")
-    rows = min_length(document_ids(spark, root), "ids", 1)
+    rows = document_ids(spark, root, block=1)
     return rows.select("doc_id", joined(all_inputs(ids)).alias("x"), joined(all_targets(ids)).alias("y"))
 
 
@@ -202,7 +201,7 @@ def split_stream(spark, root):
 )
 def first_blocks(spark, root):
     ids = F.col("ids")
-    rows = min_length(document_ids(spark, root), "ids", BLOCK)
+    rows = document_ids(spark, root, block=BLOCK)
     return rows.select(
         "doc_id", joined(block_input(ids, BLOCK)).alias("x"), joined(block_target(ids, BLOCK)).alias("y")
     )

@@ -15,6 +15,8 @@ def local_session(cores: str = "*", app: str = "corpusloom", **extra: str) -> Sp
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Small test tables: let a stage keep all cores although its data is small.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",

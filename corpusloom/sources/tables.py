@@ -19,11 +19,11 @@ def load_table(
     name: str,
     columns: list[str] | None = None,
     split: str | None = None,
-    spread_by: str | None = None,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Read dataset ``name`` below ``root``, all splits or one.
 
-    ``spread_by`` redistributes by that key, but only when the scan yields
+    ``spread_by`` redistributes by those columns, but only when the scan yields
     fewer partitions than the cluster has cores (a few small files); a large
     table is never shuffled for it.
     """
@@ -34,7 +34,7 @@ def load_table(
         df = df.select(*columns)
     cores = spark.sparkContext.defaultParallelism
     if spread_by is not None and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, spread_by)
+        df = df.repartition(cores, *spread_by)
     return df
 
 
