@@ -67,7 +67,7 @@ def generate(
     prompt_id: str = "prompt_id",
     current: str = "current",
     group: tuple[str, ...] = (),
-    durable_every: int = 10,
+    durable_every: int = 20,
 ) -> DataFrame:
     """Add ``generated``: up to ``max_tokens`` tokens drawn one after the other.
 

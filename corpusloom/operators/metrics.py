@@ -41,7 +41,9 @@ def bleu_normal_form(text: Column) -> Column:
     return text
 
 
-@F.pandas_udf("struct<matched:array<bigint>,total:array<bigint>,reference:bigint>")
+COUNTS_TYPE = "struct<matched:array<bigint>,total:array<bigint>,reference:bigint>"
+
+
 def clipped_counts(prediction: pd.Series, reference: pd.Series) -> pd.DataFrame:
     """Per row and n-gram order: predicted n-grams, and those the reference has as often."""
     rows = []
@@ -63,8 +65,9 @@ def corpus_bleu(df: DataFrame, prediction: str, reference: str) -> DataFrame:
     where it is, and only sums are shuffled. Grouping by (row, n-gram) would
     turn every text into eight times as many shuffled rows as it has words.
     """
+    count = F.pandas_udf(clipped_counts, COUNTS_TYPE)
     counts = df.select(
-        clipped_counts(bleu_normal_form(F.col(prediction)), bleu_normal_form(F.col(reference))).alias("c")
+        count(bleu_normal_form(F.col(prediction)), bleu_normal_form(F.col(reference))).alias("c")
     )
     totals = counts.agg(
         *[

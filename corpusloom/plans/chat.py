@@ -65,7 +65,9 @@ def chat_training_text(spark, root):
 
 
 # Some rows carry an extra input: their own question in brackets, or blanks.
-EXTRA = F.when(F.pmod("turn", F.lit(4)) == 0, F.concat(F.lit(" ["), F.col("instruction"), F.lit("] "))).otherwise(" ")
+def extra_input():
+    bracketed = F.concat(F.lit(" ["), F.col("instruction"), F.lit("] "))
+    return F.when(F.pmod("turn", F.lit(4)) == 0, bracketed).otherwise(" ")
 
 
 @query(
@@ -78,7 +80,7 @@ UNION ALL SELECT conv_id, turn, 1, 'user', CASE WHEN e <> '' THEN q || {NL} || {
 UNION ALL SELECT conv_id, turn, 2, 'assistant', a FROM cleaned""",
 )
 def sft_messages(spark, root):
-    built = instruction_messages(F.col("instruction"), F.col("output"), EXTRA, f"  {SYSTEM_TEXT} ")
+    built = instruction_messages(F.col("instruction"), F.col("output"), extra_input(), f"  {SYSTEM_TEXT} ")
     return _inline_turns(pairs(spark, root), built, "conv_id", "turn")
 
 
@@ -176,9 +178,10 @@ def prompt_variants(spark, root):
 
 
 # A schema text for every second user turn, none or a null for the others.
-SCHEMA = F.when(F.pmod("turn", F.lit(4)) == 0, F.lit(" CREATE TABLE t (a int) ")).when(
-    F.pmod("conv_id", F.lit(2)) == 0, F.lit("")
-)
+def schema_text():
+    return F.when(F.pmod("turn", F.lit(4)) == 0, F.lit(" CREATE TABLE t (a int) ")).when(
+        F.pmod("conv_id", F.lit(2)) == 0, F.lit("")
+    )
 
 
 @query(
@@ -196,13 +199,13 @@ SELECT conv_id, turn,
 FROM tidy""",
 )
 def text2sql(spark, root):
-    question, sql = F.col("instruction"), F.col("output")
+    question, sql, schema = F.col("instruction"), F.col("output"), schema_text()
     return pairs(spark, root).select(
         "conv_id",
         "turn",
-        text2sql_text(question, SCHEMA, sql).alias("text"),
-        text2sql_text(question, SCHEMA, sql, compat=True).alias("compat_text"),
-        text2sql_prompt(question, clean_text(SCHEMA)).alias("prompt"),
+        text2sql_text(question, schema, sql).alias("text"),
+        text2sql_text(question, schema, sql, compat=True).alias("compat_text"),
+        text2sql_prompt(question, clean_text(schema)).alias("prompt"),
     )
 
 

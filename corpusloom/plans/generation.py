@@ -107,7 +107,7 @@ SQL_PROMPTS = """prompts AS (SELECT conv_id AS prompt_id, arg_max(text, turn) AS
 def _sql_generated(extra: str, on: str, limit: str, keys: str = "") -> str:
     """CTEs ending in ``drawn (prompt_id, generated)`` from ``started`` and ``kept``."""
     digest = sql_digest(f"'{SEED}'", "g.prompt_id", "g.step")
-    return f"""packed AS (SELECT {keys}prev, list(next ORDER BY rank) AS toks, list(cum ORDER BY rank) AS cums
+    return f"""packed AS MATERIALIZED (SELECT {keys}prev, list(next ORDER BY rank) AS toks, list(cum ORDER BY rank) AS cums
   FROM kept GROUP BY {keys}prev),
 g AS (SELECT prompt_id, {extra}current, 0 AS step, '' AS generated FROM started
   UNION ALL
