@@ -127,6 +127,10 @@ def train_bpe(
     the driver holds is the tokenizer itself. The most frequent pair wins; ties
     go to the smaller left id, then the smaller right id.
     """
+    # Written first, so the corpus is read once. A fixed number of partitions
+    # keeps all cores at work: the table is small but is read in every round.
+    spread = int(word_counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    word_counts = materialize(word_counts.select("word", "n").repartition(spread, "word"), "word-counts")
     alphabet = word_counts.select(F.explode(chars(F.col("word"))).alias("c")).distinct().orderBy("c")
     letters = [row["c"] for row in collect_bounded(alphabet, UNICODE_POINTS, "alphabet")]
     tokens = [*specials, *[c for c in letters if c not in specials]]
@@ -135,11 +139,9 @@ def train_bpe(
     marked = F.transform(
         symbol_ids, lambda i: F.concat(F.lit(SYMBOL_START), i.cast("string"), F.lit(SYMBOL_END))
     )
-    # Words of one character never form a pair. A fixed number of partitions
-    # keeps all cores at work: the table is small but is read in every round.
-    spread = int(word_counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    longer = word_counts.where(F.char_length("word") > 1).repartition(spread, "word")
-    words_now = materialize(longer.select(F.array_join(marked, "").alias("seg"), "n"), "segments").persist()
+    # Words of one character never form a pair.
+    longer = word_counts.where(F.char_length("word") > 1)
+    words_now = longer.select(F.array_join(marked, "").alias("seg"), "n").persist()
     merges: list[tuple[int, int, int]] = []
     previous, rounds = None, 0
     try:

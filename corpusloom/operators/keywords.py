@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import words
+from corpusloom.session import materialize
 
 HOT_SHARE = 1000
 
@@ -18,10 +19,12 @@ def top_keywords(df: DataFrame, key: str, text: str, k: int = 5) -> DataFrame:
     words per document), so they are broadcast and their many rows stay in
     place. All other words are rare, so their shuffled join has no hot key.
     """
-    counted = (
+    # Written once: three reads follow, and splitting texts is the costly part.
+    counted = materialize(
         df.select(key, F.explode(words(F.col(text))).alias("word"))
         .groupBy(key, "word")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        .agg(F.count(F.lit(1)).alias("tf")),
+        "term-counts",
     )
     n_docs = df.count()
     frequency = counted.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
