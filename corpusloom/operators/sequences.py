@@ -164,16 +164,26 @@ def random_blocks(
         F.explode(F.sequence(cell(F.col("offset")), cell(stop - 1))).alias("cell"),
     )
     first_shared = F.greatest(cell(F.col("start")), cell(F.col("offset")))
-    hits = starts.join(cells, "cell").where(
-        (F.col("offset") < end) & (stop > F.col("start")) & (F.col("cell") == first_shared)
+    hits = (
+        starts.join(cells, "cell")
+        .where((F.col("offset") < end) & (stop > F.col("start")) & (F.col("cell") == first_shared))
+        .select(
+            *order_by,
+            F.col("sample_id").alias("_sample"),
+            F.col("start").alias("_start"),
+            F.col("offset").alias("_offset"),
+            F.greatest("start", "offset").alias("_low"),
+            F.least(end, stop).alias("_high"),
+        )
     )
-    part_low = F.greatest("start", "offset")
-    part_size = F.least(end, stop) - part_low
-    parts = df.select(*order_by, ids.alias("_ids")).join(hits, order_by).select(
-        "sample_id",
-        "start",
-        part_low.alias("low"),
-        F.slice("_ids", (part_low - F.col("offset") + 1).cast("int"), part_size.cast("int")).alias("ids"),
+    # Joined before encoding: only rows that were hit are encoded.
+    parts = df.join(hits, order_by).select(
+        F.col("_sample").alias("sample_id"),
+        F.col("_start").alias("start"),
+        F.col("_low").alias("low"),
+        F.slice(
+            ids, (F.col("_low") - F.col("_offset") + 1).cast("int"), (F.col("_high") - F.col("_low")).cast("int")
+        ).alias("ids"),
     )
     joined = parts.groupBy("sample_id", "start").agg(
         F.array_sort(F.collect_list(F.struct("low", "ids"))).alias("_parts")

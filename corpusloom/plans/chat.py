@@ -42,7 +42,7 @@ NL = "chr(10)"
 
 def _inline_turns(df, messages, *keys):
     return df.select(*keys, F.posexplode(messages).alias("pos", "m")).select(
-        *keys, F.col("pos").cast("long").alias("pos"), "m.role", "m.content"
+        *keys, "pos", "m.role", "m.content"
     )
 
 
@@ -105,7 +105,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC,
 keywords AS (SELECT doc_id, rank, word, score FROM ranked WHERE rank <= 5)"""
 
 
-@query("top_keywords", f"WITH {SQL_KEYWORDS} SELECT doc_id, rank, word, score FROM keywords")
+@query("top_keywords", f"WITH {SQL_KEYWORDS} SELECT doc_id, rank::INTEGER AS rank, word, score FROM keywords")
 def keywords(spark, root):
     return top_keywords(documents(spark, root), "doc_id", "text")
 

@@ -81,7 +81,7 @@ def doc_charset(spark, root):
 
 @query(
     "char_vocab",
-    """SELECT c AS token, row_number() OVER (ORDER BY c) - 1 AS id
+    """SELECT c AS token, (row_number() OVER (ORDER BY c) - 1)::INTEGER AS id
 FROM (SELECT DISTINCT unnest(string_split(text, '')) AS c FROM documents)""",
 )
 def vocabulary(spark, root):
@@ -208,7 +208,7 @@ def id_tokens(spark, root):
 
 @query(
     "vocab_roundtrip",
-    SQL_BPE + "SELECT id, token, id < 4 AS is_special, 3 AS pad_id FROM vocab",
+    SQL_BPE + "SELECT id::INTEGER AS id, token, id < 4 AS is_special, 3 AS pad_id FROM vocab",
 )
 def vocab_roundtrip(spark, root):
     folder = os.path.join(shared_folder(spark), f"tokenizer-{uuid.uuid4().hex}")

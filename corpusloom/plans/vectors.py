@@ -75,7 +75,7 @@ def last(spark, root):
     f"WITH {SQL_VECTORS} SELECT vec_id, list_position(e, list_max(e)) - 1 AS predicted FROM v",
 )
 def predicted(spark, root):
-    return vectors(spark, root).select("vec_id", argmax(F.col("embedding")).cast("long").alias("predicted"))
+    return vectors(spark, root).select("vec_id", argmax(F.col("embedding")).alias("predicted"))
 
 
 @query(
