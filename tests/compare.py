@@ -12,6 +12,9 @@ TABLES = (
 )
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def connect(root: str):
     con = duckdb.connect()
     for name in TABLES:
@@ -28,6 +31,10 @@ def canonical(columns, rows):
 
 def difference(spark_df, con, sql: str) -> str | None:
     """None if both give the same rows, else a short description."""
+    got_types = {name: SQL_TYPES.get(kind, kind) for name, kind in spark_df.dtypes}
+    want_types = {row[0]: str(row[1]) for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if got_types != want_types:
+        return f"types {got_types} != {want_types}"
     got_columns, got = canonical(spark_df.columns, [tuple(r) for r in spark_df.collect()])
     result = con.execute(sql)
     want_columns, want = canonical([d[0] for d in result.description], result.fetchall())
