@@ -11,7 +11,9 @@ hash are candidates; a bucket of g classes is not expanded into g*g pairs:
    all classes of other components in it.
 
 A one-bit sketch of all hash values drops pairs far below the threshold before
-their texts are fetched. What is left is verified on the exact n-gram sets, so
+their texts are fetched. In the second step an exact bound drops more: grams that
+no other candidate text has cannot be shared, so a text with u of n such grams has
+at most n - u in common with any other. What is left is verified on the exact n-gram sets, so
 every link reported is real, and every pair that shares a bucket is either
 compared or already connected.
 """
@@ -171,6 +173,21 @@ def _verify(banding: Banding):
     return run
 
 
+def _grams(banding: Banding):
+    """(rid, gram): 64-bit hashes of the distinct grams of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 64):
+            rids, hashes = [], []
+            for rid, text in zip(*[c.to_pylist() for c in part.columns]):
+                grams = grams_of(words_of(text), banding.n)
+                rids += [rid] * len(grams)
+                hashes += [int.from_bytes(hashlib.blake2b(g.encode(), digest_size=8).digest(), "little", signed=True) for g in grams]
+            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(hashes, pa.int64())], ["rid", "gram"])
+
+    return run
+
+
 def similar_classes(df: DataFrame, id_col: str, text_col: str, banding: Banding = Banding()) -> tuple[DataFrame, DataFrame]:
     """(members, links).
 
@@ -216,13 +233,26 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, banding: Banding
     placed = buckets.select("key", "rid").join(found, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("m")).where("m > 1")
-    open_rows = materialize(placed.join(mixed.select("key", "main"), "key").join(sketches, "rid"), "open-buckets")
+    open_rows = placed.join(mixed.select("key", "main"), "key")
+    # Grams that only one of these texts has; equal hashes could only hide some.
+    asked = texts.join(open_rows.select("rid").distinct(), "rid", "left_semi")
+    grams = materialize(asked.mapInArrow(_grams(banding), "rid long, gram long"), "candidate-grams")
+    alone = grams.groupBy("gram").agg(F.min("rid").alias("rid"), F.count("*").alias("n")).where("n = 1").groupBy("rid").agg(F.count("*").alias("u"))
+    sizes = grams.groupBy("rid").agg(F.count("*").alias("n")).join(alone, "rid", "left")
+    sizes = sizes.select("rid", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("common"))
+    keys = open_rows.groupBy("rid").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    open_rows = materialize(open_rows.join(sketches, "rid").join(sizes, "rid").join(keys, "rid"), "open-buckets")
     s, t = open_rows.where("component != main").alias("s"), open_rows.alias("t")
+    most = F.least("s.common", "t.common")
     again = s.join(
         t,
         (F.col("s.key") == F.col("t.key")) & (F.col("s.component") != F.col("t.component"))
         & ((F.col("t.component") == F.col("t.main")) | (F.col("s.rid") < F.col("t.rid")))
-        & (_equal_bits("s", "t") >= banding.sketch_floor),
+        & (most >= F.lit(banding.threshold) * (F.col("s.n") + F.col("t.n") - most) - 1e-9)
+        & (_equal_bits("s", "t") >= banding.sketch_floor)
+        # The first of the open buckets that two texts share gives the pair. They
+        # are of different components, so one of them is outside the main one.
+        & (F.array_min(F.array_intersect("s.keys", "t.keys")) == F.col("s.key")),
     )
     again = again.select(F.least("s.rid", "t.rid").alias("a"), F.greatest("s.rid", "t.rid").alias("b")).distinct()
     # Pairs of the first step that failed are in different components, too.
