@@ -4,8 +4,8 @@ Bands and rows follow from the recall wanted at the threshold. Texts with the
 same word sequence form one class and are joined once. Classes that share a band
 hash are candidates; a bucket of g classes is not expanded into g*g pairs:
 
-1. Every class is compared with the smallest class of each of its buckets. Exact
-   matches link classes into components.
+1. Every class is compared with the most central class of each of its buckets.
+   Exact matches link classes into components.
 2. Inside a bucket only classes of different components can still add a
    connection. Those outside the bucket's largest component are compared with
    all classes of other components in it.
@@ -208,8 +208,13 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, banding: Banding
     nodes = materialize(signed.where("n_words > 0").join(tops.select(F.col("node").alias("rid")), "rid", "left_semi"), "nodes")
 
     rows = nodes.select("rid", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("rid").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead")
-    buckets = materialize(rows.join(shared, "key"), "buckets")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = materialize(rows.join(shared, "key"), "bucket-rows")
+    # The class that meets most others in all its buckets is the most central:
+    # the text that a family of edited copies comes from is in every bucket of it.
+    met = buckets.groupBy("rid").agg(F.sum("n").alias("met"))
+    leads = buckets.join(met, "rid").groupBy("key").agg(F.max(F.struct("met", "rid")).getField("rid").alias("lead"))
+    buckets = materialize(buckets.select("key", "rid").join(leads, "key"), "buckets")
     sketches = nodes.select("rid", "k0", "k1", "k2")
     # Texts of classes that share a bucket with another, each fetched once.
     wanted = nodes.join(buckets.select("rid").distinct(), "rid", "left_semi").select("rid", F.col("_id").alias("_wid"), F.col("_th").alias("_wth"))
@@ -227,7 +232,8 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, banding: Banding
         met = pairs.alias("p").join(s, F.col("p.a") == F.col("s.rid")).join(t, F.col("p.b") == F.col("t.rid"))
         return met.where(_equal_bits("s", "t") >= banding.sketch_floor).select("p.a", "p.b")
 
-    first = near(buckets.where("rid != lead").select(F.col("lead").alias("a"), F.col("rid").alias("b")).distinct())
+    tried = buckets.where("rid != lead").select(F.least("lead", "rid").alias("a"), F.greatest("lead", "rid").alias("b")).distinct()
+    first = near(tried)
     links = verified(first)
     found = connected_components(links, "a", "b").withColumnRenamed("node", "rid")
     placed = buckets.select("key", "rid").join(found, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
@@ -256,7 +262,6 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, banding: Banding
     )
     again = again.select(F.least("s.rid", "t.rid").alias("a"), F.greatest("s.rid", "t.rid").alias("b")).distinct()
     # Pairs of the first step that failed are in different components, too.
-    tried = buckets.select(F.col("lead").alias("a"), F.col("rid").alias("b")).distinct()
     links = links.union(verified(again.join(tried, ["a", "b"], "left_anti")))
     return members, links
 
