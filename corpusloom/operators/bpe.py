@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -187,52 +188,76 @@ def _rewritten(merges: list[tuple[int, int, int]]) -> Column:
 
 
 def _merge_word(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply the earliest-learned merge present until none is left."""
-    while len(ids) > 1:
-        found = [ranks[pair] for pair in zip(ids, ids[1:]) if pair in ranks]
-        if not found:
-            return ids
-        rank, merged = min(found)
-        out: list[int] = []
-        for symbol in ids:
-            if out and ranks.get((out[-1], symbol), (None,))[0] == rank:
-                out[-1] = merged
-            else:
-                out.append(symbol)
-        ids = out
-    return ids
+    """Apply the earliest-learned merge present, leftmost first, until none is left.
+
+    A heap of mergeable pairs over a linked list: n log n in the word's length.
+    """
+    n = len(ids)
+    ids = list(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(*ranks[pair], i, *pair) for i, pair in enumerate(zip(ids, ids[1:])) if pair in ranks]
+    heap = [(rank, i, merged, a, b) for rank, merged, i, a, b in heap]
+    heapq.heapify(heap)
+    while heap:
+        _, i, merged, a, b = heapq.heappop(heap)
+        j = after[i]
+        if ids[i] != a or j >= n or ids[j] != b:
+            continue  # one of the two has been merged since
+        ids[i], ids[j] = merged, -1
+        after[i] = after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        for left, right in ((before[i], i), (i, after[i])):
+            if left >= 0 and right < n and (ids[left], ids[right]) in ranks:
+                rank, new = ranks[ids[left], ids[right]]
+                heapq.heappush(heap, (rank, left, new, ids[left], ids[right]))
+    return [i for i in ids if i >= 0]
+
+
+def _words_and_specials(text: Column, specials: list[str]) -> Column:
+    """Words of the text between special tokens, and these tokens as words of their own."""
+    if not specials:
+        return words(text)
+    listed = "|".join(r"\Q" + s + r"\E" for s in sorted(specials, key=len, reverse=True))
+    pieces = F.split(text, rf"(?<=(?:{listed}))|(?=(?:{listed}))")
+    return F.flatten(F.transform(pieces, lambda p: F.when(p.isin(*specials), F.array(p)).otherwise(words(p))))
 
 
 def encode(text: Column, tokenizer: BpeTokenizer) -> Column:
-    """Token ids of a text, no special tokens added; one unknown id per unknown character.
+    """Token ids of a text; one unknown id per unknown character, null for null.
 
-    The text is split into words by Spark; only the merging inside a word runs
-    in Python, once per distinct word and task, on Arrow batches. Nothing is
-    shuffled: sending every word of the corpus to its dictionary row and back
-    would move far more data than the texts hold.
+    Special tokens in the text are taken out first and keep their ids; none is
+    added. Spark splits the text; only the merging inside a word runs in Python,
+    once per distinct word and task, on Arrow batches. Nothing is shuffled:
+    sending every word of the corpus to its dictionary row and back would move
+    far more data than the texts hold.
     """
     codes = {t: i for i, t in enumerate(tokenizer.tokens)}
     ranks = {(a, b): (rank, c) for rank, (a, b, c) in reversed(list(enumerate(tokenizer.merges)))}
     unknown = tokenizer.id_of(tokenizer.unknown)
+    specials = {s: codes[s] for s in tokenizer.specials if s in codes}
 
     @F.pandas_udf("array<int>")
     def merge_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, list[int]] = {}
         for batch in batches:
-            rows = []
+            rows: list[list[int] | None] = []
             for row in batch:
+                if row is None:
+                    rows.append(None)
+                    continue
                 ids: list[int] = []
                 for word in row:
                     if word not in known:
                         if len(known) >= CACHED_WORDS:
                             known.clear()
-                        found = [codes.get(c, unknown) for c in word]
+                        found = [specials[word]] if word in specials else [codes.get(c, unknown) for c in word]
                         known[word] = _merge_word([i for i in found if i is not None], ranks)
                     ids.extend(known[word])
                 rows.append(ids)
             yield pd.Series(rows, dtype=object)
 
-    return merge_words(words(text))
+    return merge_words(_words_and_specials(text, list(specials)))
 
 
 def decode(ids: Column, tokenizer: BpeTokenizer, skip_specials: bool = True) -> Column:

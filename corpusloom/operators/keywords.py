@@ -8,16 +8,13 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import words
 from corpusloom.session import materialize
 
-HOT_SHARE = 1000
-
 
 def top_keywords(df: DataFrame, key: str, text: str, k: int = 5) -> DataFrame:
     """(key, rank, word, score): the ``k`` words with the largest tf * ln(N / df).
 
-    Document frequencies are joined in two ways. Words in more than one in a
-    thousand documents are few (at most 1000 times the mean number of distinct
-    words per document), so they are broadcast and their many rows stay in
-    place. All other words are rare, so their shuffled join has no hot key.
+    Terms are counted once and written; document frequencies are aggregated from
+    that table, written too, and joined back. How to join is left to the sizes of
+    the written tables and to the run-time splitting of frequent words.
     """
     # Written once: three reads follow, and splitting texts is the costly part.
     counted = materialize(
@@ -27,12 +24,8 @@ def top_keywords(df: DataFrame, key: str, text: str, k: int = 5) -> DataFrame:
         "term-counts",
     )
     n_docs = df.count()
-    frequency = counted.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    hot = F.broadcast(frequency.where(F.col("df") * HOT_SHARE > n_docs))
-    rare = frequency.where(F.col("df") * HOT_SHARE <= n_docs)
-    weighed = counted.join(hot, "word").unionByName(
-        counted.join(hot.select("word"), "word", "left_anti").join(rare, "word")
-    )
+    frequency = materialize(counted.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "document-frequency")
+    weighed = counted.join(frequency, "word")
     # Rounded before ranking so that equal scores tie in every engine.
     score = F.round(F.col("tf") * F.ln(F.lit(n_docs) / F.col("df")), 6)
     best = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("word"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.chat import instruction_messages
@@ -93,12 +93,14 @@ def min_length(df: DataFrame, length: Column, block: int) -> DataFrame:
 def reply_pairs(turns: DataFrame, key: str = "conv_id", turn: str = "turn") -> DataFrame:
     """(key, turn, instruction, output) of each user turn answered by the next turn.
 
-    Turn numbers are consecutive, so the answer is found by an equi join on
-    (key, turn), which no long conversation can skew; a window per conversation
-    would put all its turns into one task.
+    The next turn is the next that exists, so gaps in the numbers lose no pair.
+    The window keeps one row ahead; turns of a conversation are sorted, with
+    spilling, but never gathered.
     """
-    asked = turns.where(F.col("role") == "user").select(key, turn, F.col("text").alias("instruction"))
-    replied = turns.where(F.col("role") == "assistant").select(
-        key, (F.col(turn) - 1).alias(turn), F.col("text").alias("output")
-    )
-    return asked.join(replied, [key, turn]).select(key, turn, "instruction", "output")
+    order = Window.partitionBy(key).orderBy(turn)
+    seen = turns.select(
+        key, turn, "role", F.col("text").alias("instruction"),
+        F.lead("role").over(order).alias("_next"), F.lead("text").over(order).alias("output"),
+    )
+    answered = seen.where((F.col("role") == "user") & (F.col("_next") == "assistant"))
+    return answered.select(key, turn, "instruction", "output")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.chat import instruction_messages, render
 from corpusloom.functions.text import encode_chars
+from corpusloom.operators.positions import whole_div
 from corpusloom.operators.rows import min_length, reply_pairs
 from corpusloom.operators.vocabulary import char_codes, char_vocab
 from corpusloom.sources.tables import load_table
@@ -17,7 +18,7 @@ VECTOR_DIM = 64
 
 
 def documents(spark: SparkSession, root: str, *columns: str) -> DataFrame:
-    return load_table(spark, root, "documents", list(columns or ("doc_id", "text")), spread_by=["doc_id"])
+    return load_table(spark, root, "documents", list(columns or ("doc_id", "text")))
 
 
 def document_codes(docs: DataFrame) -> dict[str, int]:
@@ -36,7 +37,7 @@ def document_ids(spark: SparkSession, root: str, block: int | None = None) -> Da
 
 def conversations(spark: SparkSession, root: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
-    return load_table(spark, root, "conversations", columns, spread_by=["conv_id", "turn"])
+    return load_table(spark, root, "conversations", columns)
 
 
 def pairs(spark: SparkSession, root: str) -> DataFrame:
@@ -63,7 +64,7 @@ def vectors(spark: SparkSession, root: str) -> DataFrame:
     """(seq, pos, embedding, label): vectors in sequences of one block each."""
     return load_table(spark, root, "embeddings", ["vec_id", "embedding", "label"]).select(
         "vec_id",
-        F.floor(F.col("vec_id") / BLOCK).alias("seq"),
+        whole_div(F.col("vec_id"), BLOCK).alias("seq"),
         F.pmod("vec_id", F.lit(BLOCK)).alias("pos"),
         "embedding",
         "label",

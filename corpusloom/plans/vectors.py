@@ -10,6 +10,7 @@ from corpusloom.operators.splits import ordered_split, seq_batches
 from corpusloom.operators.vectors import causal_mean, last_vector, similar_history
 from corpusloom.plans.common import BLOCK, VECTOR_DIM, joined_doubles, vectors
 from corpusloom.plans.registry import query
+from corpusloom.session import materialize
 
 SQL_VECTORS = f"""v AS (SELECT vec_id, vec_id // {BLOCK} AS seq, vec_id % {BLOCK} AS pos, label,
   list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings)"""
@@ -89,8 +90,8 @@ def mean_loss(spark, root):
 
 SQL_BATCH_LOSS = f"""l AS (SELECT vec_id, {SQL_LOSS} AS loss,
     row_number() OVER (ORDER BY vec_id) - 1 AS i FROM x),
-b AS (SELECT *, i // 32 AS batch_id,
-    CASE WHEN i < (SELECT floor(0.9 * count(*)) FROM l) THEN 'train' ELSE 'test' END AS split FROM l)"""
+parts AS (SELECT *, CASE WHEN i < (SELECT floor(0.9 * count(*)) FROM l) THEN 'train' ELSE 'test' END AS split FROM l),
+b AS (SELECT *, (row_number() OVER (PARTITION BY split ORDER BY vec_id) - 1) // 32 AS batch_id FROM parts)"""
 
 
 def batch_losses(spark, root):
@@ -98,8 +99,10 @@ def batch_losses(spark, root):
     marked = ordered_split(
         rows.select("vec_id", cross_entropy(F.col("embedding"), F.col("label")).alias("loss")), ["vec_id"]
     )
-    batches = seq_batches(rows.select("vec_id"), ["vec_id"], 32)
-    return marked.join(batches, "vec_id")
+    marked = materialize(marked, "losses")
+    # Batches are made inside each split, so none holds rows of both.
+    numbered = [seq_batches(marked.where(F.col("split") == name).select("vec_id"), ["vec_id"], 32) for name in ("train", "test")]
+    return marked.join(numbered[0].unionByName(numbered[1]), "vec_id")
 
 
 @query(
@@ -116,12 +119,12 @@ def split_losses(spark, root):
 @query(
     "loss_history",
     f"""WITH {SQL_VECTORS}, {SQL_EXPS}, {SQL_BATCH_LOSS}
-SELECT batch_id AS step, round(avg(loss), 6) AS loss FROM b WHERE batch_id % 10 = 0 GROUP BY batch_id""",
+SELECT split, batch_id AS step, round(avg(loss), 6) AS loss FROM b WHERE batch_id % 10 = 0 GROUP BY split, batch_id""",
 )
 def reported(spark, root):
     per_step = (
         batch_losses(spark, root)
-        .groupBy(F.col("batch_id").alias("step"))
+        .groupBy("split", F.col("batch_id").alias("step"))
         .agg(F.round(F.avg("loss"), 6).alias("loss"))
     )
     return loss_history(per_step, "step", 10)

@@ -19,6 +19,8 @@ def local_session(cores: str = "*", app: str = "corpusloom", **extra: str) -> Sp
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Small test files, read by several tasks where they have several row groups.
+        "spark.sql.files.maxPartitionBytes": "1m",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "12g",
         **extra,
@@ -44,7 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
     existing = context.getCheckpointDir()
     if existing:
         return existing
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a folder all executors can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
     return context.getCheckpointDir()

@@ -19,22 +19,17 @@ def load_table(
     name: str,
     columns: list[str] | None = None,
     split: str | None = None,
-    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Read dataset ``name`` below ``root``, all splits or one.
 
-    ``spread_by`` redistributes by those columns, but only when the scan yields
-    fewer partitions than the cluster has cores (a few small files); a large
-    table is never shuffled for it.
+    The scan keeps the layout of the files; ``spark.sql.files.maxPartitionBytes``
+    sets how finely they are read.
     """
     df = spark.read.parquet(os.path.join(root, f"{name}.parquet"))
     if split is not None:
         df = df.where(F.col("split") == split)
     if columns is not None:
         df = df.select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by is not None and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, *spread_by)
     return df
 
 

@@ -108,7 +108,8 @@ def test_equal_to_the_library(spark):
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
     ours = bpe.train_bpe(word_freq(docs, "text"), size)
     assert list(ours.tokens) == [t for t, _ in sorted(library.get_vocab().items(), key=lambda x: x[1])]
-    extra = spark.createDataFrame([("안녕 unseen 漢字 the",), ("",)], "text string")
+    glued = [f"x{s}the {s} {s}{s}" for s in bpe.SPECIAL_TOKENS] + ["hello</s>", "<s>the</s>the", "the" * 20_000, "</s", "<pad></pad>"]
+    extra = spark.createDataFrame([(t,) for t in ["안녕 unseen 漢字 the", "", *glued]], "text string")
     rows = docs.union(extra).select(
         "text",
         bpe.encode(F.col("text"), ours).alias("ids"),

@@ -148,6 +148,11 @@ def test_text2sql(spark):
     assert row["prompt"] == "Task:q\nSQL table: T\nSQL query:"
 
 
+def test_reply_pairs_with_a_gap(spark):
+    df = spark.createDataFrame([(1, 0, "user", "a"), (1, 2, "assistant", "b"), (2, 1, "user", "c")], "conv_id long, turn long, role string, text string")
+    assert [tuple(r) for r in reply_pairs(df).collect()] == [(1, 0, "a", "b")]
+
+
 def test_reply_pairs(spark):
     turns = [(1, 0, "system", "s"), (1, 1, "user", "a"), (1, 2, "user", "b"), (1, 3, "assistant", "c"), (2, 0, "user", "x")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
