@@ -91,9 +91,16 @@ class Automaton:
         self.after = [0] * size  # the state an arc of this token leads to
         # The states in order: whose copies they are, and the merge that made them.
         self.owner, self.made = [-1], [0]
+        made: set[int] = set()
+        idle: set[int] = set()  # tokens that no word yields
         for step, (u, v, uv) in enumerate(merges, 1):
-            if self.born[uv] or uv in (u, v):
+            if uv in made or uv in (u, v):
                 raise ValueError(f"two merges make token {uv}")
+            made.add(uv)
+            # Earlier merges may leave no place where v follows u.
+            if u in idle or v in idle or not self.has_arc(self.after[u], v):
+                idle.add(uv)
+                continue
             # Where v led before this merge: for u == v that is the old state.
             self.after[uv] = self.base[uv] = self.after[v]
             self.born[uv], self.left[uv] = step, u
@@ -108,7 +115,7 @@ class Automaton:
         # The trie: node * 256 + byte -> node, and the token that ends at a node.
         self.trie: dict[int, int] = {}
         self.ends = [-1]
-        for token, label in [(t, bytes([b])) for t, b in singles] + [(uv, labels[uv]) for _, _, uv in merges]:
+        for token, label in [(t, bytes([b])) for t, b in singles] + [(uv, labels[uv]) for _, _, uv in merges if uv not in idle]:
             node = 0
             for byte in label:
                 key = node * 256 + byte
