@@ -97,10 +97,12 @@ def write_archive(
     records = placed.select("rid", "sha256", header.cast("binary").alias("header"), F.lit(HTTP_HEAD).cast("binary").alias("block_head"))
     records = materialize(records, "warc-records")
     # One row of each payload: the row of the largest id, found by id and address.
-    chosen = tops.select(F.when(F.col("top.has"), F.col("top.id")).alias("_cid"), F.col("sha256").alias("_csha"))
-    content = rows.select("_id", "payload", F.sha2("payload", 256).alias("sha256"))
-    payloads = content.join(chosen, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("sha256") == F.col("_csha")))
-    payloads = materialize(payloads.select("sha256", "payload").dropDuplicates(["sha256"]), "warc-payloads")
+    # Rows that repeat both are dropped on the join's own keys, so payloads move once.
+    key = lambda value: F.coalesce(value.cast("string"), F.lit("null")).alias("_key")
+    chosen = tops.select(key(F.when(F.col("top.has"), F.col("top.id"))), "sha256")
+    content = rows.select(key(F.col("_id")), F.sha2("payload", 256).alias("sha256"), "payload")
+    payloads = content.join(chosen, ["_key", "sha256"]).dropDuplicates(["_key", "sha256"])
+    payloads = materialize(payloads.select("sha256", "payload"), "warc-payloads")
     return payloads, records
 
 
