@@ -34,7 +34,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group that similar texts connect, that with the largest id."""
-    found = minhash_join.near_duplicates(docs)
+    found = minhash_join.near_groups(docs)
     return keep_rows(docs, "doc_id", "text", found.where("kept"))
 
 

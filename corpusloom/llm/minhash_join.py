@@ -13,9 +13,12 @@ hash are candidates; a bucket of g classes is not expanded into g*g pairs:
 A one-bit sketch of all hash values drops pairs far below the threshold before
 their texts are fetched. In the second step an exact bound drops more: grams that
 no other candidate text has cannot be shared, so a text with u of n such grams has
-at most n - u in common with any other. What is left is verified on the exact n-gram sets, so
-every link reported is real, and every pair that shares a bucket is either
-compared or already connected.
+at most n - u in common with any other. What is left is verified on the exact n-gram
+sets. Every pair that shares a bucket is now either compared or in one component.
+
+3. Links inside a component are counted without a row per pair: the component is
+   dealt into tiles of bounded size, and a task takes two tiles and counts the
+   links of each text from the sizes of all intersections of their gram sets.
 """
 
 from __future__ import annotations
@@ -85,6 +88,18 @@ class _Hashes(dict):
         return value
 
 
+def gram_hashes(w: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hashes of the runs of n word hashes; a shorter text is padded to one run."""
+    if len(w) < n:
+        w = np.concatenate([w, np.zeros(n - len(w), dtype=np.uint64)])
+    x = np.zeros(len(w) - n + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(n):
+            x = (x ^ w[i : i + len(x)]) * np.uint64(0x9E3779B97F4A7C15)
+            x ^= x >> np.uint64(29)
+    return x
+
+
 class Signer:
     """Band hashes and sketch of a text, in steps of bounded memory."""
 
@@ -98,20 +113,16 @@ class Signer:
         self.band = rng.integers(0, 1 << 62, banding.bands, dtype=np.uint64)
         self.words = _Hashes()
 
-    def sign(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        n = self.b.n
+    def hashed(self, words: list[str]) -> np.ndarray:
         w = np.fromiter(map(self.words.__getitem__, words), dtype=np.uint64, count=len(words))
-        if len(w) < n:
-            w = np.concatenate([w, np.zeros(n - len(w), dtype=np.uint64)])
+        return gram_hashes(w, self.b.n)
+
+    def sign(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        x = self.hashed(words)
         least = np.full(self.k, 0xFFFFFFFF, dtype=np.uint32)
         with np.errstate(over="ignore"):
-            for start in range(0, len(w) - n + 1, 512):
-                part = w[start : start + 512 + n - 1]
-                x = np.zeros(len(part) - n + 1, dtype=np.uint64)
-                for i in range(n):
-                    x = (x ^ part[i : i + len(x)]) * np.uint64(0x9E3779B97F4A7C15)
-                    x ^= x >> np.uint64(29)
-                grams = (x >> np.uint64(32)).astype(np.uint32)[None, :]
+            for start in range(0, len(x), 512):
+                grams = (x[start : start + 512] >> np.uint64(32)).astype(np.uint32)[None, :]
                 np.minimum(least, (grams * self.mul + self.add).min(axis=1), out=least)
             rows = least[: self.b.bands * self.b.rows].astype(np.uint64).reshape(self.b.bands, self.b.rows)
             bands = self.band.copy()
@@ -188,12 +199,81 @@ def _grams(banding: Banding):
     return run
 
 
-def similar_classes(df: DataFrame, id_col: str, text_col: str, banding: Banding = Banding()) -> tuple[DataFrame, DataFrame]:
-    """(members, links).
+def intersections(grams: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of all pairwise intersections of sets of distinct hashes, in blocks of columns."""
+    owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+    values, column, times = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+    # A hash that one set alone has is in no intersection.
+    place = np.cumsum(times > 1) - 1
+    shared = times[column] > 1
+    owner, column = owner[shared], place[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(grams), len(grams)))
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        part = slice(*np.searchsorted(column, (start, start + columns)))
+        marks = np.zeros((len(grams), min(columns, int(column[-1]) + 1 - start)), dtype=np.float32)
+        marks[owner[part], column[part] - start] = 1
+        total += marks @ marks.T
+    return total
+
+
+def _count_links(banding: Banding):
+    """(rid, n): links of each text to the texts of the other tile, or of its own."""
+
+    def counted(group: tuple, rids: list[int], tiles: list[int], grams: list[np.ndarray]) -> pa.RecordBatch:
+        both, sizes, tile = intersections(grams), np.array([len(g) for g in grams]), np.array(tiles)
+        linked = both / (sizes[:, None] + sizes[None, :] - both) >= banding.threshold
+        np.fill_diagonal(linked, False)
+        if group[1] != group[2]:
+            linked &= tile[:, None] != tile[None, :]
+        return pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(linked.sum(axis=1), pa.int64())], ["rid", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer(banding)
+        last, rids, tiles, grams = None, [], [], []
+        for part in slices(batches, 64):
+            for component, p, q, tile, rid, text in zip(*[c.to_pylist() for c in part.columns]):
+                if (component, p, q) != last:
+                    if len(rids) > 1:
+                        yield counted(last, rids, tiles, grams)
+                    last, rids, tiles, grams = (component, p, q), [], [], []
+                rids.append(rid)
+                tiles.append(tile)
+                grams.append(np.unique(signer.hashed(words_of(text))))
+        if len(rids) > 1:
+            yield counted(last, rids, tiles, grams)
+
+    return run
+
+
+def link_counts(texts: DataFrame, found: DataFrame, banding: Banding, tile_rows: int = 256, tile_chars: int = 2_000_000) -> DataFrame:
+    """(rid, n_links): how many texts of its component each text is linked to.
+
+    texts: (rid, _text), found: (node, component). Tiles hold about
+    ``tile_rows`` texts or ``tile_chars`` characters; each text is sent once for
+    every tile of its component, so a group of g texts makes g * g / tile_rows
+    rows and never a row per pair.
+    """
+    placed = texts.join(found.withColumnRenamed("node", "rid"), "rid")
+    sizes = found.join(texts.select(F.col("rid").alias("node"), F.length("_text").alias("chars")), "node")
+    sizes = sizes.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / tile_rows), F.ceil(F.sum("chars") / tile_chars), F.lit(1)).cast("long").alias("tiles"))
+    dealt = placed.join(sizes, "component").withColumn("tile", F.pmod(F.xxhash64("rid"), "tiles"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, tiles - 1)")))
+    dealt = dealt.select("component", F.least("tile", "other").alias("p"), F.greatest("tile", "other").alias("q"), "tile", "rid", "_text")
+    dealt = dealt.repartition("component", "p", "q").sortWithinPartitions("component", "p", "q")
+    counts = dealt.mapInArrow(_count_links(banding), "rid long, n long")
+    return counts.groupBy("rid").agg(F.sum("n").alias("n_links"))
+
+
+def similar_classes(df: DataFrame, id_col: str, text_col: str, banding: Banding = Banding()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, links, texts).
 
     members: (_id, _th, rid, node), one row per row of ``df``; ``node`` is the
     row number of the class's representative, the row with the largest id.
-    links: (a, b, jaccard), verified pairs of class nodes, a < b.
+    links: (a, b, jaccard), verified pairs of class nodes, a < b, enough to connect
+    what belongs together.
+    texts: (rid, _text) of the nodes that share a bucket with another.
     """
     signed = keyed(df, id_col, text_col).mapInArrow(
         _signatures(banding),
@@ -263,7 +343,25 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, banding: Banding
     again = again.select(F.least("s.rid", "t.rid").alias("a"), F.greatest("s.rid", "t.rid").alias("b")).distinct()
     # Pairs of the first step that failed are in different components, too.
     links = links.union(verified(again.join(tried, ["a", "b"], "left_anti")))
-    return members, links
+    return members, links, texts
+
+
+def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", banding: Banding = Banding(), count_links: bool = False) -> DataFrame:
+    """(_id, _th, rid, class_id, class_size, kept), as in ``near_duplicates``; ``n_links`` on demand."""
+    members, links, texts = similar_classes(df, id_col, text_col, banding)
+    found = connected_components(links, "a", "b")
+    rows = members.join(found.select(F.col("node").alias("_n"), "component"), F.col("node") == F.col("_n"), "left")
+    rows = rows.withColumn("component", F.coalesce("component", "node"))
+    counted = []
+    if count_links:
+        degree = link_counts(texts, found, banding).select(F.col("rid").alias("_d"), "n_links")
+        rows = rows.join(degree, F.col("node") == F.col("_d"), "left")
+        counted = [F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")]
+    tops = rows.groupBy("component").agg(F.max(F.expr("struct(_id is not null as has, coalesce(_id, 0L) as id, rid)")).alias("top"), F.count("*").alias("class_size"))
+    return rows.join(tops, "component").select(
+        "_id", "_th", "rid", F.when(F.col("top.has"), F.col("top.id")).alias("class_id"), "class_size",
+        *counted, (F.col("rid") == F.col("top.rid")).alias("kept"),
+    )
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", banding: Banding = Banding()) -> DataFrame:
@@ -272,20 +370,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Two texts are linked if the Jaccard similarity of their sets of n-word runs
     (lower-cased ``\\w+`` words) is at least the threshold; texts with equal word
     sequences are copies. ``class_id`` is the largest id of all texts that links
-    connect, ``n_links`` the number of verified links that connect this text to
-    different texts, ``kept`` marks one row of each class, the one with the
-    largest id. Copies share the links of their text. A text without words, null
-    included, is alone. A null id comes before all others; rows that repeat an
-    id are separate rows. Links within a connected group form a connecting set:
-    pairs that are connected already are not compared again.
+    connect, ``n_links`` the number of different texts that this text is linked
+    to, ``kept`` marks one row of each class, the one with the largest id. Copies
+    share the links of their text. A text without words, null included, is alone.
+    A null id comes before all others; rows that repeat an id are separate rows.
     """
-    members, links = similar_classes(df, id_col, text_col, banding)
-    found = connected_components(links, "a", "b").select(F.col("node").alias("_n"), "component")
-    degree = links.select(F.explode(F.array("a", "b")).alias("_d")).groupBy("_d").agg(F.count("*").alias("n_links"))
-    rows = members.join(found, F.col("node") == F.col("_n"), "left").withColumn("component", F.coalesce("component", "node"))
-    rows = rows.join(degree, F.col("node") == F.col("_d"), "left")
-    tops = rows.groupBy("component").agg(F.max(F.expr("struct(_id is not null as has, coalesce(_id, 0L) as id, rid)")).alias("top"), F.count("*").alias("class_size"))
-    return rows.join(tops, "component").select(
-        "_id", "_th", "rid", F.when(F.col("top.has"), F.col("top.id")).alias("class_id"), "class_size",
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), (F.col("rid") == F.col("top.rid")).alias("kept"),
-    )
+    return near_groups(df, id_col, text_col, banding, count_links=True)

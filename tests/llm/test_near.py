@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm.minhash_join import Banding, grams_of, near_duplicates, words_of
+from corpusloom.llm.components import connected_components
+from corpusloom.llm.minhash_join import Banding, grams_of, link_counts, near_duplicates, similar_classes, words_of
 
 
 def brute(rows, n=5, threshold=0.8):
@@ -31,6 +32,14 @@ def brute(rows, n=5, threshold=0.8):
     return {key: largest[top(i)] for i, (key, _) in enumerate(rows)}
 
 
+def brute_links(rows, n=5, threshold=0.8):
+    """Number of different texts that each row's text is linked to."""
+    grams = {tuple(words_of(t or "")): grams_of(words_of(t or ""), n) for _, t in rows}
+    similar = lambda a, b: bool(a and b) and len(a & b) / len(a | b) >= threshold
+    degree = {x: sum(similar(a, b) for y, b in grams.items() if x != y) for x, a in grams.items()}
+    return {key: degree[tuple(words_of(t or ""))] for key, t in rows}
+
+
 def family(rng, size, length, edits):
     base = [f"w{rng.randrange(5000)}" for _ in range(length)]
     out = []
@@ -56,6 +65,31 @@ def test_equals_brute_force(spark, seed):
     want = brute(rows)
     assert {k: r["class_id"] for k, r in got.items()} == want
     assert {k for k, r in got.items() if r["kept"]} == set(want.values())
+    assert {k: r["n_links"] for k, r in got.items()} == brute_links(rows)
+
+
+def test_links_across_tiles(spark):
+    rng = random.Random(4)
+    rows = list(enumerate(family(rng, 90, 120, 8) + ["one two", "one  two", None]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("component", F.lit(0))
+    _, links, texts = similar_classes(df, "doc_id", "text")
+    found = connected_components(links, "a", "b")
+    want = sum(brute_links(list(enumerate(dict.fromkeys(t or "" for _, t in rows)))).values())
+    for how in ({"tile_rows": 7}, {"tile_chars": 2000}, {"tile_rows": 1}, {}):
+        assert link_counts(texts, found, Banding(), **how).agg(F.sum("n_links")).first()[0] == want
+
+
+def test_components_equal_search(spark):
+    rng = random.Random(6)
+    pairs = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(45)]
+    least = {x: x for p in pairs if p[0] != p[1] for x in p}
+    for _ in range(60):
+        for a, b in pairs:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    got = connected_components(spark.createDataFrame(pairs + pairs[:9], "a long, b long"), "a", "b").collect()
+    assert len(got) == len(least) and {r["node"]: r["component"] for r in got} == least
+    assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
 def test_empty_null_and_repeated_rows(spark):
