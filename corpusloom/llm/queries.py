@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,9 @@ from corpusloom.llm import (
     poly_fingerprint,
     projected_nn,
     sentence_spans,
+    spectrum_whitening,
+    superminhash,
+    tandem_runs,
     toxic_crf,
     warc_store,
 )
@@ -172,3 +176,55 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.array_join(F.transform("secrets", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     counts = [guess_cost.count_kind(k).alias(f"n_{k}") for k in guess_cost.KINDS]
     return found.select(F.col("_id").alias("doc_id"), *counts, "base_sha256", spans.alias("spans"))
+
+
+def planted(doc_id: int | None, words: list[str]) -> list[str]:
+    """The words with a periodic tail in one of ten documents, chosen by the checksum of the id."""
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode())
+    if n == 0 or doc_id is None or h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query("op11_tandem_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tandem_runs.find_runs(table(spark, sf_dir, "documents"), rewrite=planted)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        F.col("_id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.call_function("div", F.col("best.length") * 1000, F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_spectrum_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spectrum_whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("_id", "vec_id")
+
+
+OP13_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL)
+  JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * m >= 85 * (p.n + q.n - m)),
+reach AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT y, c FROM reach JOIN links ON x = doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM (SELECT doc_id, min(c) AS c FROM reach GROUP BY doc_id) LEFT JOIN n USING (doc_id)"""
+
+
+@query("op13_superminhash", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = superminhash.near_groups(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("_id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("_id") == F.col("component_id"), F.lit(False)).alias("kept")
+    )
