@@ -12,15 +12,17 @@ A bucket of g classes is never expanded into g * g pairs:
 
 1. Every class is verified against the class of its bucket that meets most others;
    links join classes into components.
-2. Classes that share a bucket with another component are joined again by an exact
-   prefix filter: of a set of n shingles, ordered by how many of these classes hold
-   them, two sets at the threshold share one of the first n - ceil(t * n) + 1.
-   Shingles that no other open set holds fill that prefix first, so texts that only
-   share a common passage meet nobody. This finds every link among the open classes,
-   whether or not they share a band.
-
-All links are verified on full shingle sets. Postings of a frequent shingle are
-dealt into tiles, so no task holds all pairs of one posting.
+2. Classes that share a bucket with another component may have links left. Sets
+   with too many shingles that no other of them holds cannot, and are set aside.
+   The others are joined by exact prefix filters on what they remove from, and add
+   to, the set of the class that step 1 compared them with: two classes of which
+   one is not linked to that class need a number of these differences in common.
+   Edits of one text seldom agree in most of their edits, so families of
+   thousands of edited copies, or of texts with one common passage, leave few pairs.
+
+Every pair of classes that shares a bucket is thus verified, in one component, or
+ruled out by an exact bound. Links are verified on full shingle sets. Postings of
+a frequent difference are dealt into tiles, so no task holds all pairs of one.
 """
 
 from __future__ import annotations
@@ -78,9 +80,6 @@ class Near:
     def linked(self, both: int, a: int, b: int) -> bool:
         return 100 * both >= self.percent * (a + b - both)
 
-    def prefix(self, size: Column) -> Column:
-        """How many shingles of a set must be looked at to meet every linked one."""
-        return size - F.call_function("div", size * self.percent + 99, F.lit(100)) + 1
 
 
 def words_of(text: str) -> list[str]:
@@ -269,39 +268,92 @@ def _equal_bits(near: Near, a: str, b: str) -> Column:
     return F.lit(near.registers) - sum(F.bit_count(F.col(f"{a}.k{i}").bitwiseXOR(F.col(f"{b}.k{i}"))) for i in range(SKETCH_LONGS))
 
 
-def open_pairs(open_rows: DataFrame, shingles: DataFrame, near: Near, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(a, b) of different components that can reach the threshold, by an exact prefix filter.
+def with_common(open_rows: DataFrame, shingles: DataFrame, near: Near) -> DataFrame:
+    """The rows of (rid, component, n_shingles) with enough shingles that others of them hold.
 
-    open_rows: (rid, component, n_shingles), shingles: (rid, s). The bound on the
-    shared shingles of a pair is the number of shingles of each that any other
-    open text holds.
+    shingles: (rid, s). A set with c such shingles of n shares at most c with any
+    other, whose union with it has at least n.
     """
     held = shingles.groupBy("s").agg(F.count("*").alias("df"), F.min("rid").alias("rid"))
     alone = held.where("df = 1").groupBy("rid").agg(F.count("*").alias("u"))
-    rows = open_rows.join(alone, "rid", "left").withColumn("common", F.col("n_shingles") - F.coalesce("u", F.lit(0)))
-    # No set can share more than its common shingles.
-    rows = rows.where((F.col("common") * 100 >= F.col("n_shingles") * near.percent))
-    rows = rows.withColumn("looked", near.prefix(F.col("n_shingles")) - F.col("n_shingles") + F.col("common"))
-    rows = materialize(rows.where("looked > 0").drop("u"), "open-sets")
-    ranked = shingles.join(rows.select("rid", "looked"), "rid").join(held.where("df > 1").select("s", "df"), "s")
-    # The rarest of each text first; looked at most 15 of 100 of its shingles.
-    firsts = ranked.groupBy("rid", "looked").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("all"))
-    firsts = firsts.select("rid", F.explode(F.slice("all", F.lit(1), F.col("looked").cast("int"))).alias("p")).select("rid", F.col("p.s").alias("s"))
-    postings = materialize(firsts.join(rows.drop("looked"), "rid"), "postings")
-    sizes = postings.groupBy("s").agg(F.count("*").alias("g"), F.countDistinct("component").alias("m")).where("m > 1")
-    dealt = postings.join(sizes.select("s", F.ceil(F.col("g") / tile_rows).cast("long").alias("tiles")), "s")
-    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("rid"), "tiles"))
+    common = F.col("n_shingles") - F.coalesce("u", F.lit(0))
+    return open_rows.join(alone, "rid", "left").where(common * 100 >= F.col("n_shingles") * near.percent).drop("u")
+
+
+def _differences(near: Near):
+    """(lead, rid, size, removed, added): shingle hashes of one set that the other lacks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        last: tuple[int, np.ndarray] | None = None
+        kind = pa.list_(pa.int64())
+        for part in slices(batches, 32):
+            sizes, removed, added = [], [], []
+            for lead, x, y in zip(part.column("a").to_pylist(), part.column("x").to_pylist(), part.column("y").to_pylist()):
+                if last is None or last[0] != lead:
+                    last = (lead, shingle_hashes([words_of(x)], near.n, hashes)[1].view(np.int64))
+                other = shingle_hashes([words_of(y)], near.n, hashes)[1].view(np.int64)
+                sizes.append(len(last[1]))
+                removed.append(np.setdiff1d(last[1], other, assume_unique=True))
+                added.append(np.setdiff1d(other, last[1], assume_unique=True))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("a"), part.column("b"), pa.array(sizes, pa.int64()), pa.array(removed, kind), pa.array(added, kind)],
+                ["lead", "rid", "size", "removed", "added"],
+            )
+
+    return run
+
+
+def pairs_by_differences(differences: DataFrame, near: Near, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(a, b) of different components with the same lead that can reach the threshold.
+
+    differences: (lead, rid, component, size, removed, added), one row per set and
+    lead, size being that of the lead's set. With r removed and
+    p added shingles let f = 100 * r + percent * p and
+    F = (100 - percent) * size. A set is linked to its lead if f <= F, and two sets
+    with x differences in common are linked if
+    (100 + percent) * x >= f1 + f2 - F. If one of them, say the first, is not linked to
+    the lead, x is thus more than f2 / (100 + percent), and at least (f1 - F) / 100,
+    because the second has x differences itself. That is what each row ``needs``.
+    """
+    whole = 100 + near.percent
+    div = lambda a, b: F.call_function("div", a, F.lit(b).cast("long"))
+    rows = differences.withColumns({"r": F.size("removed").cast("long"), "p": F.size("added").cast("long")})
+    rows = rows.withColumns({"f": F.col("r") * 100 + F.col("p") * near.percent, "bound": F.col("size") * (100 - near.percent)})
+    apart = F.col("f") > F.col("bound")
+    rows = rows.withColumns({"apart": apart, "needs": F.when(apart, F.greatest(F.lit(1), div(F.col("f") - F.col("bound") + 99, 100))).otherwise(div(F.col("f"), whole) + 1)})
+    rows = rows.where(F.col("needs") <= F.col("r") + F.col("p"))
+    marked = lambda name, out: F.transform(name, lambda s: F.struct(F.lit(out).alias("out"), s.alias("s")))
+    cells = rows.select("lead", "rid", F.explode(F.concat(marked("removed", True), marked("added", False))).alias("d")).select("lead", "rid", "d.out", "d.s")
+    held = cells.groupBy("lead", "out", "s").agg(F.count("*").alias("df"), F.min("rid").alias("rid"))
+    alone = held.where("df = 1").groupBy("lead", "rid").agg(F.count("*").alias("u"))
+    kept = rows.drop("removed", "added").join(alone, ["lead", "rid"], "left").withColumn("common", F.col("r") + F.col("p") - F.coalesce("u", F.lit(0)))
+    kept = materialize(kept.where("common >= needs").drop("u", "p", "r"), "open-sets")
+    # No partner has less differences than the one with the least.
+    least = kept.groupBy("lead").agg(F.min("f").alias("least"))
+    kept = kept.join(least, "lead").where(F.col("common") * whole >= F.col("f") + F.col("least") - F.col("bound"))
+    kept = kept.withColumn("looked", F.col("common") - F.col("needs") + 1).drop("least")
+    kept = materialize(kept, "open-sets")
+    ranked = cells.join(kept.select("lead", "rid", "looked"), ["lead", "rid"]).join(held.where("df > 1").drop("rid"), ["lead", "out", "s"])
+    # The rarest differences of each set first.
+    firsts = ranked.groupBy("lead", "rid", "looked").agg(F.array_sort(F.collect_list(F.struct("df", "out", "s"))).alias("all"))
+    firsts = firsts.select("lead", "rid", F.explode(F.slice("all", F.lit(1), F.col("looked").cast("int"))).alias("d")).select("lead", "rid", "d.out", "d.s")
+    postings = materialize(firsts.join(kept.drop("looked"), ["lead", "rid"]), "postings")
+    key = ["lead", "out", "s"]
+    sizes = postings.groupBy(*key).agg(F.count("*").alias("g"), F.min("component").alias("low"), F.max("component").alias("high"), F.max("apart").alias("any"))
+    sizes = sizes.where("low != high and any").select(*key, F.ceil(F.col("g") / tile_rows).cast("long").alias("tiles"))
+    dealt = postings.join(sizes, key).withColumn("tile", F.pmod(F.xxhash64("rid"), "tiles"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, tiles - 1)")))
-    dealt = dealt.select("s", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "rid", "component", "n_shingles", "common")
+    dealt = dealt.select(*key, F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "rid", "component", "f", "bound", "common", "apart")
     x, y = dealt.alias("x"), dealt.alias("y")
-    most = F.least("x.common", "y.common")
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in (*key, "t1", "t2")]
     met = x.join(
         y,
-        (F.col("x.s") == F.col("y.s")) & (F.col("x.t1") == F.col("y.t1")) & (F.col("x.t2") == F.col("y.t2"))
-        & (F.col("x.rid") < F.col("y.rid")) & (F.col("x.component") != F.col("y.component"))
+        same[0] & same[1] & same[2] & same[3] & same[4]
+        & (F.col("x.rid") < F.col("y.rid")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.apart") | F.col("y.apart"))
         # Pairs inside a tile belong to the row (t, t) only.
         & ((F.col("x.t1") == F.col("x.t2")) | (F.col("x.tile") != F.col("y.tile")))
-        & (most * 100 >= (F.col("x.n_shingles") + F.col("y.n_shingles") - most) * near.percent),
+        & (F.least("x.common", "y.common") * whole >= F.col("x.f") + F.col("y.f") - F.col("x.bound")),
     )
     return met.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct()
 
@@ -318,8 +370,8 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     that repeat an id or a text are separate rows. An empty table gives an empty
     one. Other columns are not read. Long texts are batches of their own.
 
-    A pair at the threshold that shares no band, and no bucket with rows of another
-    component, is missed with probability 1 - recall; below it nothing is linked.
+    A pair at the threshold that shares no band is missed with probability
+    1 - recall; below the threshold nothing is linked.
     """
     schema = "_id long, _th long, c1 long, c2 long, n_shingles long, bands array<long>, " + ", ".join(f"k{i} long" for i in range(SKETCH_LONGS))
     signed = keyed(df, id_col, text_col).mapInArrow(_sign(near), schema)
@@ -341,9 +393,12 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     texts = keyed(df, id_col, text_col).join(wanted, F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_th") == F.col("_wth")))
     texts = materialize(texts.select("rid", "_text").dropDuplicates(["rid"]), "near-texts")
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def with_texts(pairs: DataFrame) -> DataFrame:
         x, y = (texts.select(F.col("rid").alias(r), F.col("_text").alias(t)) for r, t in (("a", "x"), ("b", "y")))
-        return materialize(pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(_verify(near), "a long, b long"), "near-links")
+        return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return materialize(with_texts(pairs).mapInArrow(_verify(near), "a long, b long"), "near-links")
 
     bits = sketched.select("rid", "k0", "k1", "k2")
     s, t = bits.alias("s"), bits.alias("t")
@@ -357,7 +412,12 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     open_rows = placed.join(mixed, "key", "left_semi").select("rid", "component").distinct()
     open_rows = materialize(open_rows.join(sketched.select("rid", "n_shingles"), "rid"), "open-rows")
     shingles = texts.join(open_rows.select("rid"), "rid", "left_semi").mapInArrow(_shingles(near), "rid long, s long")
-    again = open_pairs(open_rows, materialize(shingles, "open-shingles"), near)
+    close = materialize(with_common(open_rows, materialize(shingles, "open-shingles"), near), "close-sets")
+    pivots = buckets.join(mixed, "key", "left_semi").where("rid != lead").join(close.select("rid"), "rid", "left_semi").select(F.col("lead").alias("a"), F.col("rid").alias("b")).distinct()
+    schema = "lead long, rid long, size long, removed array<long>, added array<long>"
+    differences = with_texts(pivots).sortWithinPartitions("a").mapInArrow(_differences(near), schema)
+    differences = materialize(differences.join(close.select("rid", "component"), "rid"), "differences")
+    again = pairs_by_differences(differences, near)
     links = links.union(verified(again.join(tried, ["a", "b"], "left_anti")))
 
     found = connected_components(links, "a", "b").select(F.col("node").alias("_n"), "component")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm.superminhash import Near, _mixed, _WordHashes, near_groups, open_pairs, shingle_hashes, shingles_of, signatures, sketches, words_of
+from corpusloom.llm.superminhash import Near, _mixed, _WordHashes, near_groups, pairs_by_differences, shingle_hashes, shingles_of, signatures, sketches, with_common, words_of
 
 SCHEMA = "doc_id long, text string"
 
@@ -61,20 +61,32 @@ def test_groups_equal_brute_force(spark, seed):
     assert all(r["kept"] == (k == want[k][1]) for k, r in got.items())
 
 
-def test_open_pairs_in_tiles(spark):
-    rng = random.Random(9)
-    near = Near()
-    texts = sorted(set(family(rng, 40, 120, 4) + family(rng, 30, 60, 2)))
+@pytest.mark.parametrize("seed, edits", [(9, 6), (10, 16), (11, 30)])
+def test_pairs_by_differences_lose_no_link(spark, seed, edits):
+    """All links of pairs of which one is not linked to the lead, for several leads and tile sizes."""
+    rng, near = random.Random(seed), Near()
+    texts = sorted(set(family(rng, 50, 120, edits)))
+    # Pairs that share their edits, and a common passage.
+    texts += [t + " tail of two" for t in texts[:12]] + [" ".join(t.split()[:70] + [f"own{i}"] * 3) for i, t in enumerate(texts[12:24])]
     sets = {i: shingles_of(words_of(t), near.n) for i, t in enumerate(texts)}
-    owner, x = shingle_hashes([words_of(t) for t in texts], near.n, _WordHashes())
-    shingles = spark.createDataFrame(list(zip(owner.tolist(), x.view(np.int64).tolist())), "rid long, s long")
-    rows = spark.createDataFrame([(i, i, len(s)) for i, s in sets.items()], "rid long, component long, n_shingles long")
-    want = {(a, b) for a in sets for b in sets if a < b and near.linked(len(sets[a] & sets[b]), len(sets[a]), len(sets[b]))}
-    assert len(want) > 20
-    found = [{(r["a"], r["b"]) for r in open_pairs(rows, shingles, near, tile_rows=t).collect()} for t in (1, 7, 2048)]
-    assert found[0] == found[1] == found[2] >= want
-    one = rows.withColumn("component", F.lit(5).cast("long"))
-    assert open_pairs(one, shingles, near).count() == 0
+    linked = lambda a, b: near.linked(len(sets[a] & sets[b]), len(sets[a]), len(sets[b]))
+    codes = {s: i for i, s in enumerate(sorted(set().union(*sets.values())))}
+    coded = {i: {codes[s] for s in v} for i, v in sets.items()}
+    rows, want = [], set()
+    for lead in (0, 7, 40):
+        rows += [(lead, i, i, len(coded[lead]), sorted(coded[lead] - v), sorted(v - coded[lead])) for i, v in coded.items() if i != lead]
+        want |= {(a, b) for a in sets for b in sets if a < b and lead not in (a, b) and linked(a, b) and not (linked(a, lead) and linked(b, lead))}
+    df = spark.createDataFrame(rows, "lead long, rid long, component long, size long, removed array<long>, added array<long>")
+    found = [{(r["a"], r["b"]) for r in pairs_by_differences(df, near, tile_rows=t).collect()} for t in (1, 7, 2048)]
+    assert found[0] == found[1] == found[2] >= want and want
+    assert pairs_by_differences(df.withColumn("component", F.lit(5).cast("long")), near).count() == 0
+
+
+def test_common_shingles_bound(spark):
+    near = Near()
+    shingles = spark.createDataFrame([(1, s) for s in range(20)] + [(2, s) for s in range(3, 23)] + [(3, s) for s in range(40, 60)] + [(4, 0)], "rid long, s long")
+    rows = spark.createDataFrame([(1, 1, 20), (2, 2, 20), (3, 3, 20), (4, 4, 1)], "rid long, component long, n_shingles long")
+    assert {r["rid"] for r in with_common(rows, shingles, near).collect()} == {1, 2, 4}
 
 
 def test_signatures_equal_one_by_one():
