@@ -3,7 +3,8 @@
 The cost of a value is the least sum, over all ways to cut it into known words,
 dates, repeats, keyboard walks and single characters, of the logarithm (base 10)
 of the guesses that each piece takes. It is found by dynamic programming from
-left to right. Costly values after credential words become spans of their own.
+left to right. Costly values in credential contexts become spans of their own. Words
+are ranked by a short list of common parts of passwords and by the corpus itself.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import keyed, slices
+from corpusloom.llm.common import keyed, quoted, slices
 
 # The patterns of the three basic kinds, in their order.
 ASSIGN = re.compile(
@@ -28,12 +29,14 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # a run of fewer never counts
 KINDS = ("assign", "access", "hex", "guess")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
-#: Words before a value that make it a credential.
+#: Words before a value that make it a credential, with names of headers.
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:password|passwd|passphrase|passcode|pwd|secret|token|api_?key|access_?key|private_?key|credentials?|auth)"""
-    r"""["']?\x20*[:=]\x20*["']?([^\s"'<>]{6,})""",
+    r"""(?<![A-Za-z0-9])(?:password|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth(?:orization)?)"""
+    r"""["']?\x20*[:=]\x20*(?:(?:bearer|basic|token)\x20+)?["']?([^\s"'<>]{6,})""",
     re.ASCII | re.IGNORECASE,
 )
+#: The password of a user in a URL.
+IN_URL = re.compile(r"://[^\s/:@\"'<>]{1,64}:([^\s/@\"'<>]{6,256})@")
 #: One of these is in every text that either pattern can match.
 HINTS = ("passw", "passp", "passc", "pwd", "secret", "token", "api", "key", "credential", "auth")
 
@@ -45,56 +48,104 @@ WORDS = (
     "value", "string", "env", "config", "public", "private", "server", "client", "database", "summer", "winter",
     "spring", "autumn", "sunshine", "princess", "football", "baseball", "superman", "batman", "iloveyou", "trustno1",
 )
-_RANK = {w: i + 1 for i, w in enumerate(WORDS)}
-_LONGEST = max(map(len, WORDS))
-_ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
-_NEXT = {a + b for row in _ROWS for x in (row, row[::-1]) for a, b in zip(x, x[1:])}
+#: Words of the corpus that are known besides, by documents that hold them.
+CORPUS_WORDS = 20_000
+SHORTEST, LONGEST = 3, 20
+
+# Rows of a keyboard, and how far each is moved to the right, in quarters of a key.
+_KEYS = (("1234567890", 0), ("qwertyuiop", 2), ("asdfghjkl", 3), ("zxcvbnm", 5))
+_LONGEST_WALK = 64
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d")
+_LONGEST_DATE = 10
 #: A single character takes this many guesses; a piece more costs this much.
-_SINGLE, _PIECE = 1.0, 0.3
+SINGLE, PIECE = 1.0, 0.3
+#: Guesses for a run of n: repeats of one character, walks over neighbouring keys; for a date.
+REPEAT, WALK, DATE = 10, 40, 365 * 40
+
+
+def _neighbours() -> frozenset[str]:
+    """Pairs of keys that touch: beside each other, or on the rows above and below; and letters in order."""
+    place = {c: (4 * x + shift, y) for y, (row, shift) in enumerate(_KEYS) for x, c in enumerate(row)}
+    near = {a + b for a, (x, y) in place.items() for b, (u, v) in place.items() if a != b and abs(y - v) <= 1 and abs(x - u) <= (4 if y == v else 3)}
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return frozenset(near | {a + b for a, b in zip(letters, letters[1:])} | {b + a for a, b in zip(letters, letters[1:])})
+
+
+_NEXT = _neighbours()
+
+
+def ranked_words(corpus: list[str] | tuple[str, ...] = ()) -> dict[str, int]:
+    """Word to rank: the common parts of passwords first, then the words of a corpus, most common first."""
+    rank: dict[str, int] = {}
+    for word in (*WORDS, *corpus):
+        if word not in rank and len(word) <= LONGEST:
+            rank[word] = len(rank) + 1
+    return rank
+
+
+_COMMON = ranked_words()
 
 
-def guess_cost(value: str) -> float:
+def pieces_ending_at(value: str, low: str, j: int, repeat_from: int, walk_from: int, ranks: dict[str, int]) -> Iterator[tuple[int, float]]:
+    """(start, price) of the pieces that end at j and are not single characters.
+
+    A repeat may start anywhere in its run; starts further than ``LONGEST`` into
+    it are never part of a cheapest cut, as moving them to the left costs less
+    than any piece before them. A walk has at most ``_LONGEST_WALK`` keys.
+    """
+    for start in range(repeat_from, min(repeat_from + LONGEST, j - 3) + 1):
+        yield start, log10(REPEAT * (j - start))
+    for start in range(max(walk_from, j - _LONGEST_WALK), j - 2):
+        yield start, log10(WALK * (j - start))
+    for start in range(max(0, j - LONGEST), j - 1):
+        rank = ranks.get(low[start:j])
+        if rank:
+            yield start, log10(rank) + (0.5 if value[start:j] != low[start:j] else 0)
+    for start in range(max(0, j - _LONGEST_DATE), j - 3):
+        if value[start].isdigit() and _DATE.fullmatch(value, start, j):
+            yield start, log10(DATE)
+
+
+def guess_cost(value: str, ranks: dict[str, int] = _COMMON) -> float:
     """log10 of the guesses for ``value``; 0 for the empty value.
 
-    Runs (repeats and walks) are extended as far as they go once per start of a
-    run, words and dates have a bounded length, so time is linear in the length.
+    The least sum over all cuts into pieces. A stretch of single characters is
+    one piece, so there are two states at each place: the cheapest way that ends
+    in such a stretch, which the next character may join, and the cheapest that
+    ends in another piece. Time is linear in the length.
     """
     n = len(value)
     low = value.lower() if len(value.lower()) == n else value
-    best = [0.0] + [float("inf")] * n
+    inf = float("inf")
+    single, closed = [inf] * (n + 1), [inf] * (n + 1)
+    closed[0] = 0.0
     repeat_from = walk_from = 0
-    single = [False] * (n + 1)  # does the best way to here end in a single character?
     for j in range(1, n + 1):
-        # A single character; a row of them is one brute-force piece.
-        cost = best[j - 1] + _SINGLE + (0 if single[j - 1] else _PIECE)
-        best[j], single[j] = cost, True
         if j >= 2:
             if low[j - 2] != low[j - 1]:
                 repeat_from = j - 1
             if low[j - 2] + low[j - 1] not in _NEXT:
                 walk_from = j - 1
-        options = []
-        for start in {repeat_from, max(repeat_from, j - 64)}:
-            if j - start >= 3:
-                options.append((start, log10(10 * (j - start))))
-        for start in {walk_from, max(walk_from, j - 26)}:
-            if j - start >= 3:
-                options.append((start, log10(40 * (j - start))))
-        for start in range(max(0, j - _LONGEST), j - 1):
-            rank = _RANK.get(low[start:j])
-            if rank:
-                options.append((start, log10(rank) + (0.5 if value[start:j] != low[start:j] else 0)))
-        for start in range(max(0, j - 10), j - 3):
-            if value[start].isdigit() and _DATE.fullmatch(value, start, j):
-                options.append((start, log10(365 * 40)))
-        for start, extra in options:
-            if best[start] + extra + _PIECE < best[j]:
-                best[j], single[j] = best[start] + extra + _PIECE, False
-    return best[n]
-
-
-def find_secrets(text: str, least_cost: float) -> list[tuple[int, str, int, float]]:
+        single[j] = min(single[j - 1] + SINGLE, closed[j - 1] + SINGLE + PIECE)
+        for start, price in pieces_ending_at(value, low, j, repeat_from, walk_from, ranks):
+            cost = min(single[start], closed[start]) + price + PIECE
+            if cost < closed[j]:
+                closed[j] = cost
+    return min(single[n], closed[n])
+
+
+def corpus_words(df: DataFrame, text_col: str = "text", most: int = CORPUS_WORDS) -> list[str]:
+    """The ``most`` words of 3 to 20 letters a-z that most rows hold, A-Z in lower case.
+
+    Counted over all rows and whole texts; ties go by the word. What reaches the
+    driver, and the executors after it, is bounded by ``most``.
+    """
+    letters = F.regexp_extract_all(F.lower(F.coalesce(quoted(text_col), F.lit(""))), F.lit(rf"(?<![a-z])[a-z]{{{SHORTEST},{LONGEST}}}(?![a-z])"), F.lit(0))
+    counts = df.select(F.explode(F.array_distinct(letters)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+
+
+def find_secrets(text: str, least_cost: float, ranks: dict[str, int] = _COMMON) -> list[tuple[int, str, int, float]]:
     """(start, kind, end, cost) by start, then kind; cost 0 where no value is priced."""
     found = []
     low = text.lower()
@@ -102,39 +153,42 @@ def find_secrets(text: str, least_cost: float) -> list[tuple[int, str, int, floa
     if near:
         for m in ASSIGN.finditer(text):
             if len(m.group(2)) >= LEAST["assign"]:
-                found.append((m.start(), 0, m.end(), guess_cost(m.group(2))))
+                found.append((m.start(), 0, m.end(), guess_cost(m.group(2), ranks)))
     if "AKIA" in text:
         found += [(m.start(), 1, m.end(), 0.0) for m in ACCESS.finditer(text) if len(m.group()) >= LEAST["access"]]
     found += [(m.start(), 2, m.end(), 0.0) for m in HEX.finditer(text)]
-    if near:
-        taken = sorted((s, e) for s, _, e, _ in found)
-        at = 0
-        for m in CONTEXT.finditer(text):
-            start, end = m.span(1)
-            while at < len(taken) and taken[at][1] <= start:
-                at += 1
-            if not any(s < end for s, _ in taken[at : at + 1]):
-                cost = guess_cost(m.group(1))
-                if cost >= least_cost:
-                    found.append((start, 3, end, cost))
+    values = {m.span(1) for m in CONTEXT.finditer(text)} if near else set()
+    if "://" in text:
+        values |= {m.span(1) for m in IN_URL.finditer(text)}
+    for start, end in values:
+        cost = guess_cost(text[start:end], ranks)
+        if cost >= least_cost:
+            found.append((start, 3, end, cost))
     return [(s, KINDS[k], e, c) for s, k, e, c in sorted(found)]
 
 
-def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_cost: float = 8.0) -> DataFrame:
+def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_cost: float = 8.0, words: int = CORPUS_WORDS) -> DataFrame:
     """(_id, _th, secrets, base_sha256), one row per row of ``df``.
 
     secrets: (kind, start, end, cost) in code points, end exclusive, by start
-    and then kind. Basic spans cover the whole match; a "guess" span covers the
-    value after a credential word if it takes at least 10**least_cost guesses
-    and meets no basic span. base_sha256 digests the basic spans as
-    kind:start:end, joined by commas. Null counts as empty; a text without
-    secrets has an empty list.
+    and then kind. Basic spans cover the whole match. A "guess" span covers the
+    value in a credential context (after a credential word, an authorization
+    header, or as the password in a URL) if it takes at least 10**least_cost
+    guesses; it may lie inside a basic span. ``cost`` prices the value of "assign"
+    and "guess" spans. Known words are the fixed common ones and the ``words`` most
+    common of the table. base_sha256 digests the basic spans as kind:start:end,
+    joined by commas. Null counts as empty; a text without secrets has an empty
+    list. Rows that repeat an id, null included, are separate rows; an empty
+    table gives an empty one; other columns are not read.
     """
+    ranks = ranked_words(corpus_words(df, text_col, words)) if words else _COMMON
+    shared = df.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("cost", pa.float64())]))
+        known = shared.value
         for part in slices(batches):
-            lists = [find_secrets(t, least_cost) for t in part.column(2).to_pylist()]
+            lists = [find_secrets(t, least_cost, known) for t in part.column(2).to_pylist()]
             base = [",".join(f"{k}:{s}:{e}" for s, k, e, _ in x if k != "guess") for x in lists]
             yield pa.RecordBatch.from_arrays(
                 [

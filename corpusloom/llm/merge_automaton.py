@@ -11,9 +11,10 @@ at a known merge, and every arc of every state follows from two rules:
 * a token merged since the state was made may follow if its left part may;
 * an older token may follow if it is not the one removed and the parent has it.
 
-Arcs are evaluated once and kept in a table. A pre-split word has exactly one
-path through the automaton; it is found in one pass over its bytes, because every
-prefix of the word has exactly one path as well. Decoding emits the arc labels.
+The driver compiles the automaton once into flat arrays. A pre-split word has
+exactly one path through it; it is found in one pass over its bytes, because every
+prefix of the word has exactly one path as well. All new words of a slice of rows
+go through the automaton together, one byte at a time. Decoding emits the labels.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +40,12 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNKS = rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 
-#: Words and arcs that a task keeps; beyond that it computes them anew.
+#: Words and chunks that a task keeps, and the longest of them; others are computed anew.
 KEPT_WORDS = 250_000
-KEPT_ARCS = 2_000_000
+KEPT_LENGTH = 64
+
+#: Longer words go through the automaton one at a time.
+LONG_WORD = 256
 
 
 def byte_symbols() -> dict[str, int]:
@@ -82,7 +87,7 @@ def read_tokenizer(path: str) -> dict:
 class Automaton:
     """States, implicit arcs, and a byte trie over the arc labels."""
 
-    def __init__(self, singles: list[tuple[int, int]], merges: list[tuple[int, int, int]], labels: dict[int, bytes], added: dict[str, int]):
+    def __init__(self, singles: list[tuple[int, int]], merges: list[tuple[int, int, int]], labels: dict[int, bytes]):
         size = max(labels) + 1
         self.born = [0] * size  # the merge that made the token; 0: a single symbol
         self.left = [-1] * size
@@ -109,20 +114,18 @@ class Automaton:
             self.made.append(step)
             self.cut[u << 32 | v] = step
             self.after[u] = len(self.owner) - 1
-        self.labels = labels
-        self.added = added
-        self.arcs: dict[int, bool] = {}
         # The trie: node * 256 + byte -> node, and the token that ends at a node.
-        self.trie: dict[int, int] = {}
-        self.ends = [-1]
+        trie: dict[int, int] = {}
+        ends = [-1]
         for token, label in [(t, bytes([b])) for t, b in singles] + [(uv, labels[uv]) for _, _, uv in merges if uv not in idle]:
             node = 0
             for byte in label:
-                key = node * 256 + byte
-                node = self.trie.setdefault(key, len(self.ends))
-                if node == len(self.ends):
-                    self.ends.append(-1)
-            self.ends[node] = token
+                node = trie.setdefault(node * 256 + byte, len(ends))
+                if node == len(ends):
+                    ends.append(-1)
+            ends[node] = token
+        self.trie, self.ends = trie, ends
+        self.lengths = [len(labels.get(i, b"")) for i in range(size)]
 
     def has_arc(self, state: int, token: int) -> bool:
         """Follow the two rules, all copies made for one token at a time.
@@ -147,103 +150,229 @@ class Automaton:
         return True
 
     def path(self, word: bytes) -> list[int]:
-        """The tokens of a pre-split word. KeyError if a byte has no symbol."""
+        """The tokens of one pre-split word, the plain form of ``Tables.paths``."""
         n = len(word)
         came: list[int] = [-1] * (n + 1)
-        trie, ends, after, arcs, labels = self.trie, self.ends, self.after, self.arcs, self.labels
-        state = 0
         for i in range(n):
-            if i:
-                if came[i] < 0:
-                    raise KeyError(word[i - 1])
-                state = after[came[i]]
+            if i and came[i] < 0:
+                raise KeyError(word[i - 1])
+            state = self.after[came[i]] if i else 0
             node = 0
             for j in range(i, n):
-                node = trie.get(node * 256 + word[j], -1)
+                node = self.trie.get(node * 256 + word[j], -1)
                 if node < 0:
                     break
-                token = ends[node]
-                if token >= 0 and came[j + 1] < 0:
-                    key = state << 32 | token
-                    open_ = arcs.get(key)
-                    if open_ is None:
-                        open_ = self.has_arc(state, token)
-                        if len(arcs) < KEPT_ARCS:
-                            arcs[key] = open_
-                    if open_:
-                        came[j + 1] = token
+                token = self.ends[node]
+                if token >= 0 and came[j + 1] < 0 and self.has_arc(state, token):
+                    came[j + 1] = token
         if n and came[n] < 0:
             raise KeyError(word[n - 1])
         out = []
         while n:
             out.append(came[n])
-            n -= len(labels[came[n]])
+            n -= self.lengths[came[n]]
         return out[::-1]
 
 
-class _Words(dict):
-    """Word to its ids as packed int32; as many words as fit are kept."""
-
-    def __init__(self, automaton: Automaton):
-        super().__init__()
-        self.automaton = automaton
-
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.automaton.path(word.encode()), dtype=np.int32).tobytes()
-        if len(self) < KEPT_WORDS and len(word) <= 64:
-            self[word] = ids
-        return ids
+class _Sorted:
+    """A map from whole numbers to whole numbers, looked up for many keys at once.
 
+    Open addressing in a table of twice the size or more; the multiplier spreads
+    the keys and neighbouring places take what falls together.
+    """
 
-class _Chunks(dict):
-    """The same for a chunk of one or several words."""
-
-    def __init__(self, words: _Words):
-        super().__init__()
-        self.words = words
-        self.split = regex.compile(WORDS)
+    def __init__(self, entries: dict[int, int], missing: int):
+        bits = max(4, (4 * len(entries)).bit_length())
+        self.shift, self.mask, self.missing = np.uint64(64 - bits), (1 << bits) - 1, missing
+        self.keys = np.full(1 << bits, -1, dtype=np.int64)
+        self.values = np.full(1 << bits, missing, dtype=np.int32)
+        keys, values = np.array(list(entries), dtype=np.int64), np.array(list(entries.values()), dtype=np.int32)
+        place = self._place(keys)
+        while len(keys):
+            free = self.keys[place] < 0
+            _, one = np.unique(place, return_index=True)
+            first = np.zeros(len(keys), dtype=bool)
+            first[one] = True
+            put = free & first
+            self.keys[place[put]], self.values[place[put]] = keys[put], values[put]
+            keys, values, place = keys[~put], values[~put], (place[~put] + 1) & self.mask
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def look(self, keys: np.ndarray) -> np.ndarray:
+        place = self._place(keys)
+        found = self.keys[place]
+        out = np.where(found == keys, self.values[place], self.missing)
+        rest = np.flatnonzero((found != keys) & (found >= 0))
+        while len(rest):
+            place[rest] = (place[rest] + 1) & self.mask
+            found = self.keys[place[rest]]
+            hit = found == keys[rest]
+            out[rest[hit]] = self.values[place[rest[hit]]]
+            rest = rest[~hit & (found >= 0)]
+        return out
+
+
+class Tables:
+    """A compiled automaton as flat arrays."""
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = b"".join(map(self.words.__getitem__, self.split.findall(chunk)))
-        if len(self) < KEPT_WORDS and len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
+    def __init__(self, automaton: Automaton):
+        flat = lambda values: np.array(values, dtype=np.int32)
+        self.born, self.left, self.after = flat(automaton.born), flat(automaton.left), flat(automaton.after)
+        self.owner, self.made, self.ends, self.lengths = (flat(x) for x in (automaton.owner, automaton.made, automaton.ends, automaton.lengths))
+        # The state before the copies of a state's token; the first state has none.
+        self.before = np.where(self.owner >= 0, flat(automaton.base)[self.owner], 0)
+        self.cut = _Sorted(automaton.cut, 0)
+        self.trie = _Sorted(automaton.trie, -1)
+        self.automaton = automaton  # for long words, one at a time
+
+    def has_arcs(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """``Automaton.has_arc`` for many pairs of a state and a token."""
+        out = np.ones(len(states), dtype=bool)
+        live = np.flatnonzero(states > 0)
+        states = states[live].astype(np.int64)
+        tokens = tokens[live].astype(np.int64)
+        while len(live):
+            owner, last = self.owner[states].astype(np.int64), self.made[states]
+            part, until, at = tokens, last, np.arange(len(live))
+            while len(at):
+                step, born = self.cut.look((owner[at] << 32) | part), self.born[part]
+                removed = (born < step) & (step <= until)
+                out[live[at[removed]]] = False
+                until = np.minimum(last[at], born)
+                part = self.left[part].astype(np.int64)
+                go = ~removed & (part >= 0)
+                at, part, until = at[go], part[go], until[go]
+            states = self.before[states].astype(np.int64)
+            go = out[live] & (states > 0)
+            live, states, tokens = live[go], states[go], tokens[go]
+        return out
+
+    def paths(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each pre-split word as packed int32. KeyError if a byte has no symbol.
+
+        The words advance together: step i looks at the tokens that begin at byte
+        i of every word that is longer, and walks the trie one byte at a time.
+        """
+        out = [np.array(self.automaton.path(w), dtype=np.int32).tobytes() if len(w) > LONG_WORD else b"" for w in words]
+        sizes = np.array([len(w) if len(w) <= LONG_WORD else 0 for w in words], dtype=np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[order]
+        data = np.frombuffer(b"".join(words[k] for k in order[sizes > 0].tolist()), dtype=np.uint8).astype(np.int64)
+        begin = np.cumsum(sizes) - sizes
+        # The token that came to each place; every word has one place more than bytes.
+        came = np.full(len(data) + len(words), -1, dtype=np.int32)
+        home = begin + np.arange(len(words))
+        for i in range(int(sizes[0]) if len(sizes) else 0):
+            k = int(np.searchsorted(-sizes, -i, side="left"))  # words longer than i
+            if i:
+                last = came[home[:k] + i]
+                if (last < 0).any():
+                    raise KeyError(int(data[begin[:k][last < 0][0] + i - 1]))
+                state = self.after[last]
+            else:
+                state = np.zeros(k, dtype=np.int32)
+            live, node, j = np.arange(k), np.zeros(k, dtype=np.int64), i
+            while len(live):
+                node = self.trie.look(node * 256 + data[begin[live] + j]).astype(np.int64)
+                inside = node >= 0
+                live, node = live[inside], node[inside]
+                token = self.ends[node]
+                open_ = np.flatnonzero((token >= 0) & (came[home[live] + j + 1] < 0))
+                open_ = open_[self.has_arcs(state[live[open_]], token[open_])]
+                came[home[live[open_]] + j + 1] = token[open_]
+                j += 1
+                longer = sizes[live] > j
+                live, node = live[longer], node[longer]
+        ends = came[home + sizes]
+        if ((ends < 0) & (sizes > 0)).any():
+            raise KeyError("a byte without a symbol")
+        # Backwards from the end, all words at once.
+        back: list[tuple[np.ndarray, np.ndarray]] = []
+        live, at = np.flatnonzero(sizes > 0), sizes[sizes > 0]
+        while len(live):
+            token = came[home[live] + at]
+            back.append((live, token))
+            at = at - self.lengths[token]
+            live, at = live[at > 0], at[at > 0]
+        if back:
+            word = np.concatenate([b[0] for b in back[::-1]])
+            token = np.concatenate([b[1] for b in back[::-1]])
+            packed = token[np.argsort(word, kind="stable")].tobytes()
+            ends = (4 * np.cumsum(np.bincount(word, minlength=len(words)))).tolist()
+            for k, low, high in zip(order[sizes > 0].tolist(), [0, *ends], ends):
+                out[k] = packed[low:high]
+        return out
 
 
 class Encoder:
     """Text to packed ids and back, with the added tokens taken out first."""
 
-    def __init__(self, tables: dict):
-        self.automaton = Automaton(**tables)
-        self.words = _Words(self.automaton)
-        self.chunks = _Chunks(self.words)
+    def __init__(self, compiled: dict):
+        self.tables: Tables = compiled["tables"]
+        self.added_ids: dict[str, int] = compiled["added"]
+        self.labels: list[bytes] = compiled["labels"]
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
         self.cut = re.compile(CHUNKS)
-        by_length = sorted(tables["added"], key=len, reverse=True)
+        self.split = regex.compile(WORDS)
+        by_length = sorted(self.added_ids, key=len, reverse=True)
         self.added = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")") if by_length else None
-        self.labels = [tables["labels"].get(i, b"") for i in range(max(tables["labels"]) + 1)]
-
-    def _plain(self, text: str) -> bytes:
-        return b"".join(map(self.chunks.__getitem__, self.cut.findall(text)))
 
-    def encode(self, text: str) -> bytes:
-        if self.added is None or not self.added.search(text):
-            return self._plain(text)
-        parts = self.added.split(text)
-        ids = self.automaton.added
-        return b"".join(self._plain(p) if i % 2 == 0 else np.int32(ids[p]).tobytes() for i, p in enumerate(parts))
+    @staticmethod
+    def _trim(known: dict[str, bytes], fresh: dict[str, bytes]) -> None:
+        """Forget what is long, and everything once it is too much."""
+        if len(known) > KEPT_WORDS:
+            known.clear()
+        else:
+            for key in fresh:
+                if len(key) > KEPT_LENGTH:
+                    del known[key]
+
+    def _new_chunks(self, chunks: set[str]) -> dict[str, bytes]:
+        cut = {chunk: self.split.findall(chunk) for chunk in chunks}
+        need = list(set(chain.from_iterable(cut.values())) - self.words.keys())
+        fresh = dict(zip(need, self.tables.paths([w.encode() for w in need])))
+        self.words.update(fresh)
+        get = self.words.__getitem__
+        found = {c: get(words[0]) if len(words) == 1 else b"".join(map(get, words)) for c, words in cut.items()}
+        self._trim(self.words, fresh)
+        return found
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Packed int32 ids of each text."""
+        # Each text as pieces: lists of chunks, and packed ids of added tokens.
+        pieces: list[list[list[str] | bytes]] = []
+        for text in texts:
+            if not text:
+                pieces.append([])
+            elif self.added is None or not self.added.search(text):
+                pieces.append([self.cut.findall(text)])
+            else:
+                parts = self.added.split(text)
+                pieces.append([self.cut.findall(p) if i % 2 == 0 else np.int32(self.added_ids[p]).tobytes() for i, p in enumerate(parts)])
+        listed = chain.from_iterable(part for row in pieces for part in row if isinstance(part, list))
+        fresh = self._new_chunks(set(listed) - self.chunks.keys())
+        self.chunks.update(fresh)
+        get = self.chunks.__getitem__
+        out = [b"".join([part if isinstance(part, bytes) else b"".join(map(get, part)) for part in row]) for row in pieces]
+        self._trim(self.chunks, fresh)
+        return out
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(shared, name: str) -> Encoder:
-    """One encoder per Python worker and tokenizer."""
-    if name not in _ENCODERS:
-        _ENCODERS[name] = Encoder(shared.value)
-    return _ENCODERS[name]
+def compiled(tokenizer: dict) -> dict:
+    """The tables that go to the executors, from the parts of a tokenizer file."""
+    labels = tokenizer["labels"]
+    return {
+        "tables": Tables(Automaton(tokenizer["singles"], tokenizer["merges"], labels)),
+        "added": tokenizer["added"],
+        "labels": [labels.get(i, b"") for i in range(max(labels) + 1)],
+    }
 
 
 def _with_column(part: pa.RecordBatch, values: pa.Array, name: str) -> pa.RecordBatch:
@@ -257,28 +386,27 @@ def _schema(df: DataFrame, name: str, kind: str) -> str:
 
 
 class ByteTokenizer:
-    """A tokenizer on a cluster: the driver reads the file and sends its tables once.
+    """A tokenizer on a cluster: the driver compiles the file and sends its tables once.
 
     The tables are as large as the vocabulary, a few MB, and do not grow with
     the data. Executors need not have the file.
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.name = path
-        self.shared = spark.sparkContext.broadcast(read_tokenizer(path))
+        self.shared = spark.sparkContext.broadcast(compiled(read_tokenizer(path)))
 
     def encode(self, df: DataFrame, text_col: str = "text", out: str = "ids") -> DataFrame:
         """``df`` with the ids of the whole text as array<int>; null text gives no ids.
 
         All rows and columns stay; a column named ``out`` in ``df`` is an error.
         """
-        shared, name = self.shared, self.name
+        shared = self.shared
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            encoder = _encoder(shared, name)
+            encoder = Encoder(shared.value)
             for part in slices(batches):
                 texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
-                packed = [encoder.encode(t) if t else b"" for t in texts]
+                packed = encoder.encode(texts)
                 ends = np.zeros(len(packed) + 1, dtype=np.int32)
                 np.cumsum([len(p) // 4 for p in packed], out=ends[1:])
                 ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
@@ -288,10 +416,10 @@ class ByteTokenizer:
 
     def decode(self, df: DataFrame, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
         """``df`` with the text of the ids; null ids give the empty text."""
-        shared, name = self.shared, self.name
+        shared = self.shared
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            encoder = _encoder(shared, name)
+            encoder = Encoder(shared.value)
             for part in slices(batches):
                 ids = part.column(part.schema.get_field_index(ids_col)).to_pylist()
                 yield _with_column(part, pa.array([encoder.decode(i or []) for i in ids], pa.string()), out)

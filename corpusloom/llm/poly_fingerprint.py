@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import keyed, slices
+from corpusloom.llm.common import keyed, possible, slices
 from corpusloom.session import materialize
 
 
@@ -151,7 +151,9 @@ def _unequal(texts: DataFrame, members: DataFrame, rolling: Rolling, salt_rows:
     representative is copied far less often than there are members.
     """
     salts = F.ceil(F.col("n") / salt_rows).cast("long")
-    chunked = texts.select("_id", "_th", F.col("_text").cast("binary").alias("_bytes")).select(
+    # Only texts of members and representatives are cut into chunks and shuffled.
+    held = members.select("_th").union(members.select("rep_th")).distinct()
+    chunked = possible(texts, "_th", held).select("_id", "_th", F.col("_text").cast("binary").alias("_bytes")).select(
         "_id", "_th", F.explode(_chunks(rolling.chunk_bytes)).alias("c")
     )
 

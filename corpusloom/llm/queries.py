@@ -123,13 +123,23 @@ t AS (SELECT source, source_size, least(cap, top * w) AS target FROM l, top),
 r AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
 g AS (SELECT *, target - whole * source_size AS remain FROM r),
+kinds AS (SELECT source, size, count(*) AS n FROM d WHERE size > 0 GROUP BY source, size),
+tried AS (
+  SELECT kinds.source, size, (remain - coalesce(sum(n * size) OVER (PARTITION BY kinds.source ORDER BY size DESC
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / (sum(n * size * size) OVER (PARTITION BY kinds.source ORDER BY size DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS factor
+  FROM kinds JOIN g ON kinds.source IS NOT DISTINCT FROM g.source WHERE remain > 0),
+f AS (SELECT source, arg_max(factor, size) AS factor FROM tried WHERE factor * size <= 1 GROUP BY source),
+p AS (
+  SELECT d.doc_id, d.source, d.size, d.u, g.source_size, g.target, g.whole, g.remain,
+         CASE WHEN d.size > 0 AND remain > 0 THEN least(1.0::DOUBLE, coalesce(factor * d.size, 1.0::DOUBLE)) END AS p
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN f ON d.source IS NOT DISTINCT FROM f.source),
 q AS (
-  SELECT d.doc_id, d.size, g.source_size, g.target, g.whole, g.remain,
-         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.u, d.doc_id
-                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run
-  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY (u / (1 - u)) * ((1 - p) / p) NULLS LAST, doc_id
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run
+  FROM p)
 SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN remain > 0 AND run + size / 2.0 <= remain THEN 1 ELSE 0 END))::BIGINT AS taken
+       (size * (whole + CASE WHEN remain > 0 AND size > 0 AND run + size / 2.0 <= remain THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM q"""
 
 
@@ -175,7 +185,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = guess_cost.scan(table(spark, sf_dir, "documents"))
     spans = F.array_join(F.transform("secrets", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     counts = [guess_cost.count_kind(k).alias(f"n_{k}") for k in guess_cost.KINDS]
-    return found.select(F.col("_id").alias("doc_id"), *counts, "base_sha256", spans.alias("spans"))
+    cost = F.array_max(F.transform("secrets", lambda s: s["cost"])).alias("largest_cost")
+    return found.select(F.col("_id").alias("doc_id"), *counts, "base_sha256", spans.alias("spans"), cost)
 
 
 def planted(doc_id: int | None, words: list[str]) -> list[str]:

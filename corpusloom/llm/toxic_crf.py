@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import keyed, slices
 from corpusloom.operators.positions import repeatable_hash, unit_number
+from corpusloom.session import collect_bounded
 
 TOKEN = re.compile(r"\w+|[.!?\n]")
 BREAKS = frozenset(".!?\n")
@@ -269,14 +270,14 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     for label, n in counts.items():
         share = F.when(F.col("toxic") == label, F.lit(min(1.0, settings.sample_rows / n))).otherwise(share)
     chosen = marked.where(unit_number(repeatable_hash(settings.seed, "_id")) < share)
-    rows = keyed(docs, "doc_id", "text").dropDuplicates(["_id", "_th"]).join(chosen, "_id") if total else None
-    sample = sorted((r["_id"], r["_text"], r["toxic"]) for r in rows.select("_id", "_text", "toxic").collect()) if total else []
+    # The ids are few whatever the size of the tables, so they go to the texts.
+    ids = [(r["_id"], r["toxic"]) for r in collect_bounded(chosen, 4 * settings.sample_rows * max(1, len(counts)), "sampled ids")]
+    few = F.broadcast(docs.sparkSession.createDataFrame(ids, "_id long, toxic int"))
+    rows = keyed(docs, "doc_id", "text").join(few, "_id").dropDuplicates(["_id", "_th"])
+    sample = sorted((r["_id"], r["_text"], r["toxic"]) for r in rows.select("_id", "_text", "toxic").collect()) if ids else []
     return fit([r[1] for r in sample], [int(r[2] > 0) for r in sample], counts.get(1, 0) / total if total else 0.0, settings)
 
 
-_MODELS: dict[int, Model] = {}
-
-
 def _spans(text: str, p: np.ndarray) -> list[tuple[int, int]]:
     """Runs of tokens with marginal >= 0.5, as (start, end) in code points."""
     out: list[tuple[int, int]] = []
@@ -291,7 +292,10 @@ def _spans(text: str, p: np.ndarray) -> list[tuple[int, int]]:
             start, end = token.span()
             if back is not None:
                 start, end = back[start], back[end - 1] + 1
-            out = [*out[:-1], (out[-1][0], end)] if last else [*out, (start, end)]
+            if last:
+                out[-1] = (out[-1][0], end)
+            else:
+                out.append((start, end))
         last = value >= 0.5
     return out
 
@@ -304,10 +308,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     toxic token. Only the text is an input of the score.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    key = id(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _MODELS.setdefault(key, shared.value)
+        held = shared.value
         for part in slices(batches):
             texts = part.column(2).to_pylist()
             summaries, p, begins = held.summaries(texts)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 import random
 import re
 
@@ -13,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusloom.llm import chat_windows, guess_cost, pareto_mix, projected_nn, sentence_spans, toxic_crf, warc_store
-from corpusloom.llm.merge_automaton import Automaton, ByteTokenizer, ids_digest
+from corpusloom.llm.merge_automaton import Automaton, ByteTokenizer, Tables, ids_digest
 from corpusloom.llm.poly_fingerprint import Rolling, exact_duplicates
 from corpusloom.llm.queries import QUERIES, vocabulary_path
 from tests.compare import connect, difference
@@ -199,6 +201,34 @@ def test_mix_edges(spark):
     assert pareto_mix.mix(df.limit(0)).count() == 0
 
 
+def test_inclusion_probabilities(spark):
+    """Proportional to size, expected words are those left, the largest documents certain."""
+    rng = random.Random(4)
+    sizes = [rng.randrange(1, 60) for _ in range(500)] + [900, 1500, 4000]
+    rows = [(i, "w " * n, "a", None) for i, n in enumerate(sizes)] + [(9000, "w " * 10, "b", None)]
+    got = {r["_id"]: r for r in pareto_mix.mix(spark.createDataFrame(rows, DOCS)).collect()}
+    docs = [got[i] for i in range(len(sizes))]
+    left = docs[0]["target"] - docs[0]["target"] // sum(sizes) * sum(sizes)
+    assert 0 < left < sum(sizes)
+    assert abs(sum(r["p"] * r["size"] for r in docs) - left) < 1e-6 * left
+    factor = min(r["p"] / r["size"] for r in docs)
+    assert all(abs(r["p"] - min(1.0, factor * r["size"])) < 1e-9 for r in docs) and max(r["p"] for r in docs) == 1.0
+    whole = docs[0]["target"] // sum(sizes)
+    draw = lambda i: int(hashlib.md5(f"11:{i}".encode()).hexdigest()[:13], 16) / 2**52
+    ranked = sorted(range(len(sizes)), key=lambda i: (draw(i) / (1 - draw(i)) * (1 - docs[i]["p"]) / docs[i]["p"], i))
+    run = 0
+    for i in ranked:
+        assert docs[i]["copies"] == whole + (run + sizes[i] / 2 <= left)
+        run += sizes[i]
+
+
+def test_mixed_rows_of_repeated_rows(spark):
+    rows = [(1, "a b c", "s", f"x{i}") for i in range(7)] + [(2, "d " * 9, "s", None), (None, "e", "s", "y"), (None, "e", "s", "y")]
+    df = spark.createDataFrame(rows, DOCS)
+    taken = pareto_mix.mix(df).agg(F.sum("copies")).first()[0]
+    assert pareto_mix.mixed_rows(df).count() == taken
+
+
 def test_mix_comes_near_its_targets(spark):
     rng = random.Random(2)
     rows = [(i, "w " * rng.randrange(1, 200), f"s{min(i % 7, 2)}", None) for i in range(4000)]
@@ -229,9 +259,14 @@ def test_automaton_equals_merging(seed, word):
         if labels[u] + labels[v] not in labels.values():
             labels[len(labels)] = labels[u] + labels[v]
             merges.append((u, v, len(labels) - 1))
-    automaton = Automaton([(0, 97), (1, 98), (2, 99)], merges, labels, {})
+    automaton = Automaton([(0, 97), (1, 98), (2, 99)], merges, labels)
     ranks = {(u, v): (i, uv) for i, (u, v, uv) in enumerate(merges)}
-    assert automaton.path("".join(word).encode()) == merged(["abc".index(c) for c in word], ranks)
+    want = merged(["abc".index(c) for c in word], ranks)
+    assert automaton.path("".join(word).encode()) == want
+    # All words at once, long ones included.
+    words = ["".join(word), "", "".join(word[::-1]), "".join(word) * 40]
+    found = [np.frombuffer(x, np.int32).tolist() for x in Tables(automaton).paths([w.encode() for w in words])]
+    assert found[0] == want and found == [automaton.path(w.encode()) for w in words]
 
 
 def test_encode_equals_the_library(spark):
@@ -298,6 +333,53 @@ def test_secrets(spark):
     assert got[6]["secrets"] == [] and got[8]["secrets"] == []
 
 
+def brute_cost(value, ranks):
+    """The least cost over all cuts, by trying every piece at every place."""
+    low = value.lower()
+
+    @functools.cache
+    def rest(i, in_single):
+        if i == len(value):
+            return 0.0
+        best = rest(i + 1, True) + guess_cost.SINGLE + (0 if in_single else guess_cost.PIECE)
+        for j in range(i + 2, len(value) + 1):
+            word, prices = low[i:j], []
+            if j - i >= 3 and len(set(word)) == 1:
+                prices.append(math.log10(10 * (j - i)))
+            if j - i >= 3 and all(a + b in guess_cost._NEXT for a, b in zip(word, word[1:])):
+                prices.append(math.log10(40 * (j - i)))
+            if word in ranks:
+                prices.append(math.log10(ranks[word]) + (0.5 if value[i:j] != word else 0))
+            if guess_cost._DATE.fullmatch(value[i:j]):
+                prices.append(math.log10(365 * 40))
+            best = min([best, *(rest(j, False) + p + guess_cost.PIECE for p in prices)])
+        return best
+
+    return rest(0, False)
+
+
+def test_cost_is_the_minimum_over_all_cuts():
+    rng = random.Random(1)
+    ranks = guess_cost.ranked_words(["zmy", "cat", "aaaa", "xyzzy"])
+    parts = ["abc", "xxx", "pass", "1999", "2001-05", "qwe", "Z", "zmy", "a", "1", "q", "w", "aaaa"]
+    for _ in range(3000):
+        value = "".join(rng.choice([*parts, chr(rng.randrange(33, 127))]) for _ in range(rng.randrange(1, 9)))
+        assert abs(guess_cost.guess_cost(value, ranks) - brute_cost(value, ranks)) < 1e-9
+    assert guess_cost.guess_cost("a" * 50_000) < 6 and guess_cost.guess_cost("qw" * 5_000) > 50
+
+
+def test_contexts_and_corpus_words(spark):
+    texts = ["Authorization: Bearer x9Kq27vLpZ", "see postgres://me:h7Gk2pQw9z@host/db", "password = zebrazebra", "x-api-key: Tr0ub4dor&3xyz", "time: 12:30"]
+    texts += ["the zebra ran"] * 30
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("kind", F.lit(1))
+    assert guess_cost.corpus_words(df, most=3) == ["ran", "the", "zebra"]
+    got = {r["_id"]: [(s["kind"], texts[r["_id"]][s["start"] : s["end"]]) for s in r["secrets"]] for r in guess_cost.scan(df).collect()}
+    assert got[0] == [("guess", "x9Kq27vLpZ")] and got[1] == [("guess", "h7Gk2pQw9z")]
+    assert got[2] == [("assign", "password = zebrazebra")] and got[3] == [("guess", "Tr0ub4dor&3xyz")] and got[4] == []
+    again = df.union(df).union(spark.createDataFrame([(None, None, 1), (None, "", 1)], df.schema))
+    assert guess_cost.scan(again).count() == 2 * len(texts) + 2 and guess_cost.scan(df.limit(0)).count() == 0
+
+
 def test_cost_prefers_the_cheapest_cut():
     assert guess_cost.guess_cost("") == 0
     assert guess_cost.guess_cost("password2021") < guess_cost.guess_cost("pxsswqrd2q21")
