@@ -1,27 +1,26 @@
-"""Byte-pair vocabulary: training, encoding and decoding."""
+"""Byte-pair vocabulary: encoding and decoding. ``bpe_training`` makes it."""
 
 from __future__ import annotations
 
-import heapq
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import chars, encode_chars, id_tokens, words
-from corpusloom.operators.vocabulary import UNICODE_POINTS
-from corpusloom.session import collect_bounded, materialize
+from corpusloom.functions.text import id_tokens, words
+from corpusloom.operators.merging import MergeTable, merge_words
 
 # Special tokens in id order, and their roles.
 SPECIAL_TOKENS = ("<unk>", "<s>", "</s>", "<pad>")
 UNKNOWN, BEGIN, END, PAD = SPECIAL_TOKENS
 
 VOCAB_SIZE = 10_000
-CANDIDATES = 512
-ROUNDS_BEFORE_WRITE = 20
-CACHED_WORDS = 1_000_000
+# The pre-tokenizer on the driver: Python's classes are Unicode-aware as they are.
+WORDS = re.compile(r"\w+|[^\w\s]+")
 
 
 @dataclass(frozen=True)
@@ -56,164 +55,6 @@ class BpeTokenizer:
         return spark.createDataFrame(rows, "rank int, left string, right string, merged string")
 
 
-# A word is kept as text, each symbol id between two marks: ",12;,7;,30;".
-SYMBOL_START, SYMBOL_END = ",", ";"
-
-
-def _marked(symbol: int) -> str:
-    return f"{SYMBOL_START}{symbol}{SYMBOL_END}"
-
-
-def _symbol_id(name: str) -> Column:
-    return F.substring(name, 2, 12).cast("int").alias(name)
-
-
-def _pairs(segments: DataFrame) -> DataFrame:
-    """(l, r, n): neighbouring symbols over all words, weighted by word count."""
-    symbols = F.split("seg", SYMBOL_END)  # the last item is empty
-    count = F.size("s") - 2
-    neighbours = F.arrays_zip(
-        F.slice("s", F.lit(1), count).alias("l"), F.slice("s", F.lit(2), count).alias("r")
-    )
-    return (
-        segments.select(symbols.alias("s"), "n")
-        .where(F.size("s") > 2)
-        .select(F.explode(neighbours).alias("p"), "n")
-        .groupBy("p.l", "p.r")
-        .agg(F.sum("n").alias("n"))
-        .select(_symbol_id("l"), _symbol_id("r"), "n")
-    )
-
-
-def _independent(ranked: list[tuple[int, int, int]], complete: bool) -> list[tuple[int, int]]:
-    """The longest prefix of ranked pairs that one-by-one merging would take in this order.
-
-    A merge of (a, b) changes only pairs that touch it, (x, a) and (b, y), and
-    every pair it creates occurs at most as often as one of those did. So the
-    next pair keeps its count and its place if it is strictly more frequent
-    than every touching pair. All pairs at least as frequent are in the list as
-    long as the list goes below the count in question.
-    """
-    taken: list[tuple[int, int]] = []
-    lefts: set[int] = set()
-    rights: set[int] = set()
-    floor = 0 if complete else ranked[-1][2]
-    seen = 0
-    touched: list[tuple[int, int, int]] = []
-    for l, r, n in ranked:
-        if taken:
-            if n <= floor:
-                break
-            while seen < len(ranked) and ranked[seen][2] >= n:
-                touched.append(ranked[seen])
-                seen += 1
-            if any(b in lefts or a in rights for a, b, _ in touched):
-                break
-        taken.append((l, r))
-        lefts.add(l)
-        rights.add(r)
-    return taken
-
-
-def train_bpe(
-    word_counts: DataFrame,
-    vocab_size: int = VOCAB_SIZE,
-    max_merges: int | None = None,
-    specials: tuple[str, ...] = SPECIAL_TOKENS,
-) -> BpeTokenizer:
-    """Train on (word, n): special tokens, then the alphabet, then merges up to ``vocab_size``.
-
-    Each round counts the pairs over the distinct words (pre-aggregated, one
-    small shuffle) and applies every merge whose order is already certain. What
-    the driver holds is the tokenizer itself. The most frequent pair wins; ties
-    go to the smaller left id, then the smaller right id.
-    """
-    # Written first, so the corpus is read once. A fixed number of partitions
-    # keeps all cores at work: the table is small but is read in every round.
-    spread = int(word_counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    word_counts = materialize(word_counts.select("word", "n").repartition(spread, "word"), "word-counts")
-    alphabet = word_counts.select(F.explode(chars(F.col("word"))).alias("c")).distinct().orderBy("c")
-    letters = [row["c"] for row in collect_bounded(alphabet, UNICODE_POINTS, "alphabet")]
-    tokens = [*specials, *[c for c in letters if c not in specials]]
-    codes = {token: i for i, token in enumerate(tokens)}
-    symbol_ids = encode_chars(F.col("word"), {c: codes[c] for c in letters})
-    marked = F.transform(
-        symbol_ids, lambda i: F.concat(F.lit(SYMBOL_START), i.cast("string"), F.lit(SYMBOL_END))
-    )
-    # Words of one character never form a pair.
-    longer = word_counts.where(F.char_length("word") > 1)
-    words_now = longer.select(F.array_join(marked, "").alias("seg"), "n").persist()
-    merges: list[tuple[int, int, int]] = []
-    previous, rounds = None, 0
-    try:
-        while len(tokens) < vocab_size and (max_merges is None or len(merges) < max_merges):
-            top = _pairs(words_now).orderBy(F.col("n").desc(), "l", "r").limit(CANDIDATES).collect()
-            if previous is not None:
-                previous.unpersist()  # the count above filled the cache of its successor
-            if not top:
-                break
-            batch: list[tuple[int, int, int]] = []
-            ranked = [(row["l"], row["r"], row["n"]) for row in top]
-            for left, right in _independent(ranked, complete=len(ranked) < CANDIDATES):
-                merged = tokens[left] + tokens[right]
-                known = merged in codes
-                if not known:
-                    codes[merged] = len(tokens)
-                    tokens.append(merged)
-                step = (left, right, codes[merged])
-                batch.append(step)
-                merges.append(step)
-                # A token made in two ways adds up counts, so look again after it.
-                full = len(tokens) >= vocab_size or (max_merges is not None and len(merges) >= max_merges)
-                if known or full:
-                    break
-            previous, rounds = words_now, rounds + 1
-            words_now = words_now.withColumn("seg", _rewritten(batch))
-            if rounds % ROUNDS_BEFORE_WRITE == 0:
-                splittable = F.instr("seg", SYMBOL_END + SYMBOL_START) > 0
-                words_now = materialize(words_now.where(splittable), "segments")
-            words_now = words_now.persist()
-    finally:
-        words_now.unpersist()
-        if previous is not None:
-            previous.unpersist()
-    return BpeTokenizer(tuple(tokens), tuple(merges), specials=specials)
-
-
-def _rewritten(merges: list[tuple[int, int, int]]) -> Column:
-    seg = F.col("seg")
-    for left, right, merged in merges:
-        seg = F.replace(seg, F.lit(_marked(left) + _marked(right)), F.lit(_marked(merged)))
-    return seg
-
-
-def _merge_word(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply the earliest-learned merge present, leftmost first, until none is left.
-
-    A heap of mergeable pairs over a linked list: n log n in the word's length.
-    """
-    n = len(ids)
-    ids = list(ids)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(*ranks[pair], i, *pair) for i, pair in enumerate(zip(ids, ids[1:])) if pair in ranks]
-    heap = [(rank, i, merged, a, b) for rank, merged, i, a, b in heap]
-    heapq.heapify(heap)
-    while heap:
-        _, i, merged, a, b = heapq.heappop(heap)
-        j = after[i]
-        if ids[i] != a or j >= n or ids[j] != b:
-            continue  # one of the two has been merged since
-        ids[i], ids[j] = merged, -1
-        after[i] = after[j]
-        if after[i] < n:
-            before[after[i]] = i
-        for left, right in ((before[i], i), (i, after[i])):
-            if left >= 0 and right < n and (ids[left], ids[right]) in ranks:
-                rank, new = ranks[ids[left], ids[right]]
-                heapq.heappush(heap, (rank, left, new, ids[left], ids[right]))
-    return [i for i in ids if i >= 0]
-
-
 def _words_and_specials(text: Column, specials: list[str]) -> Column:
     """Words of the text between special tokens, and these tokens as words of their own."""
     if not specials:
@@ -223,41 +64,73 @@ def _words_and_specials(text: Column, specials: list[str]) -> Column:
     return F.flatten(F.transform(pieces, lambda p: F.when(p.isin(*specials), F.array(p)).otherwise(words(p))))
 
 
+class WordEncoder:
+    """Ids of words: characters to ids, then all merges, for many words at once."""
+
+    def __init__(self, tokenizer: BpeTokenizer):
+        codes = {t: i for i, t in enumerate(tokenizer.tokens)}
+        self.specials = {s: codes[s] for s in tokenizer.specials if s in codes}
+        letters = sorted((ord(t), i) for t, i in codes.items() if len(t) == 1)
+        self.points = np.array([p for p, _ in letters] or [-1], dtype=np.int64)
+        self.letters = np.array([i for _, i in letters] or [-1], dtype=np.int64)
+        unknown = tokenizer.id_of(tokenizer.unknown)
+        self.unknown = -1 if unknown is None else unknown
+        self.table = MergeTable(list(tokenizer.merges))
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word)."""
+        plain = [w for w in words if w not in self.specials]
+        points = np.frombuffer("".join(plain).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        place = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
+        ids = np.where(self.points[place] == points, self.letters[place], self.unknown)
+        ordinary = np.array([w not in self.specials for w in words], dtype=bool)
+        word = np.repeat(np.flatnonzero(ordinary), [len(w) for w in plain])
+        ids, word = merge_words(ids[ids >= 0], word[ids >= 0], self.table)
+        special = np.flatnonzero(~ordinary)
+        if len(special):
+            ids = np.concatenate([ids, [self.specials[words[w]] for w in special.tolist()]])
+            word = np.concatenate([word, special])
+            order = np.argsort(word, kind="stable")
+            ids, word = ids[order], word[order]
+        return ids, np.bincount(word, minlength=len(words))
+
+    def rows(self, rows: pa.Array) -> pa.Array:
+        """Id arrays of arrays of words; each distinct word of the batch is merged once."""
+        found = rows.flatten().dictionary_encode()
+        ids, sizes = self.words(found.dictionary.to_pylist())
+        starts = np.cumsum(sizes) - sizes
+        index = found.indices.to_numpy()
+        each = sizes[index]
+        ends = np.cumsum(each)
+        values = ids[np.arange(each.sum()) + np.repeat(starts[index] - (ends - each), each)]
+        offsets = rows.offsets.to_numpy() - rows.offsets[0].as_py()
+        offsets = np.r_[0, ends][offsets].astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)), mask=rows.is_null())
+
+
 def encode(text: Column, tokenizer: BpeTokenizer) -> Column:
     """Token ids of a text; one unknown id per unknown character, null for null.
 
     Special tokens in the text are taken out first and keep their ids; none is
-    added. Spark splits the text; only the merging inside a word runs in Python,
-    once per distinct word and task, on Arrow batches. Nothing is shuffled:
+    added. Spark splits the text; only the merging inside words runs in Python, on
+    whole Arrow batches, once per distinct word of a batch. Nothing is shuffled:
     sending every word of the corpus to its dictionary row and back would move
     far more data than the texts hold.
     """
-    codes = {t: i for i, t in enumerate(tokenizer.tokens)}
-    ranks = {(a, b): (rank, c) for rank, (a, b, c) in reversed(list(enumerate(tokenizer.merges)))}
-    unknown = tokenizer.id_of(tokenizer.unknown)
-    specials = {s: codes[s] for s in tokenizer.specials if s in codes}
+    encoder = WordEncoder(tokenizer)
+
+    @F.arrow_udf("array<int>")
+    def merge_rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in batches:
+            yield encoder.rows(rows)
+
+    return merge_rows(_words_and_specials(text, list(encoder.specials)))
 
-    @F.pandas_udf("array<int>")
-    def merge_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[str, list[int]] = {}
-        for batch in batches:
-            rows: list[list[int] | None] = []
-            for row in batch:
-                if row is None:
-                    rows.append(None)
-                    continue
-                ids: list[int] = []
-                for word in row:
-                    if word not in known:
-                        if len(known) >= CACHED_WORDS:
-                            known.clear()
-                        found = [specials[word]] if word in specials else [codes.get(c, unknown) for c in word]
-                        known[word] = _merge_word([i for i in found if i is not None], ranks)
-                    ids.extend(known[word])
-                rows.append(ids)
-            yield pd.Series(rows, dtype=object)
 
-    return merge_words(_words_and_specials(text, list(specials)))
+def encode_text(text: str, tokenizer: BpeTokenizer) -> list[int]:
+    """Ids of one short text on the driver, such as a marker to look for."""
+    plain = [m.group() for m in WORDS.finditer(text)]
+    return WordEncoder(tokenizer).words(plain)[0].tolist()
 
 
 def decode(ids: Column, tokenizer: BpeTokenizer, skip_specials: bool = True) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.arrays import bind
+from corpusloom.functions.arrays import array_sum, bind
 from corpusloom.operators.positions import repeatable_hash, unit_number
 from corpusloom.session import collect_bounded, materialize
 
@@ -99,6 +99,85 @@ def generate(
     return state.drop("_current", "_limit")
 
 
+def successors(model: DataFrame, token: str = "next", probability: str = "p") -> DataFrame:
+    """(prev, _items): one row per current token with its successors, most likely first."""
+    items = F.array_sort(F.collect_list(F.struct((-F.col(probability)).alias("minus"), F.col(token).alias("token"))))
+    return model.groupBy("prev").agg(items.alias("_items"))
+
+
+def draw_token(items: Column, u: Column, temperature: Column, top_p: Column) -> Column:
+    """One token drawn from the truncated distribution of one row, null without successors.
+
+    The same distribution as that of ``top_p_filter``, made for this row only:
+    probabilities to the power 1/temperature, the top ones up to ``top_p``, and
+    the first whose running share passes ``u``.
+    """
+    weights = F.transform(items, lambda x: F.pow(-x["minus"], 1 / temperature))
+
+    def pick(q: Column) -> Column:
+        zero = F.struct(F.lit(0.0).alias("before"), F.lit(0.0).alias("kept"), F.lit(0).alias("n"))
+
+        def measure(s: Column, x: Column) -> Column:
+            inside = (s["before"] < top_p) | (s["n"] == 0)
+            return F.struct(
+                (s["before"] + x).alias("before"), F.when(inside, s["kept"] + x).otherwise(s["kept"]).alias("kept"),
+                F.when(inside, s["n"] + 1).otherwise(s["n"]).alias("n"),
+            )
+
+        def choose(state: Column) -> Column:
+            start = F.struct(F.lit(0.0).alias("cum"), F.lit(0).alias("at"))
+            step = lambda s, x: F.struct(
+                (s["cum"] + x / state["kept"]).alias("cum"), F.when(s["cum"] + x / state["kept"] <= u, s["at"] + 1).otherwise(s["at"]).alias("at")
+            )
+            place = F.aggregate(F.slice(q, F.lit(1), state["n"]), start, step)["at"]
+            return F.get(items, F.least(place, state["n"] - 1))["token"]
+
+        return bind(F.aggregate(q, zero, measure), choose)
+
+    shares = bind(weights, lambda w: bind(array_sum(w), lambda total: F.transform(w, lambda x: x / total)))
+    return F.when(F.size(items) > 0, bind(shares, pick))
+
+
+def generate_from(
+    prompts: DataFrame,
+    model: DataFrame,
+    temperature: Column | float,
+    top_p: Column | float,
+    max_tokens: Column | int,
+    steps: int,
+    seed: int = 42,
+    prompt_id: str = "prompt_id",
+    current: str = "current",
+    durable_every: int = 20,
+) -> DataFrame:
+    """Add ``generated``, as ``generate`` does, with sampling parameters of each prompt.
+
+    The next-token table stays as it is, one row per current token: the truncated
+    distribution is derived for the tokens that prompts reach, not for each
+    combination of table row and parameters.
+    """
+    table = materialize(successors(model), "successors").withColumnRenamed("prev", "_prev")
+    column = lambda value: value if isinstance(value, Column) else F.lit(value)
+    state = prompts.withColumns(
+        {
+            "_current": F.col(current), "_limit": column(max_tokens), "_temperature": column(temperature),
+            "_top_p": column(top_p), "generated": F.array().cast("array<string>"),
+        }
+    )
+    carried = state.columns
+    for step in range(steps):
+        u = unit_number(repeatable_hash(seed, prompt_id, F.lit(step)))
+        token = bind(u, lambda x: draw_token(F.col("_items"), x, F.col("_temperature"), F.col("_top_p")))
+        drawn = state.join(table, F.col("_current") == F.col("_prev"), "left").select(
+            *[c for c in carried if c != "_current"], F.when(F.lit(step) < F.col("_limit"), token).alias("_current")
+        )
+        added = F.concat("generated", F.array_compact(F.array("_current")))
+        state = drawn.select(*[added.alias(c) if c == "generated" else c for c in carried])
+        if (step + 1) % durable_every == 0 and step + 1 < steps:
+            state = materialize(state, "generated")
+    return state.drop("_current", "_limit", "_temperature", "_top_p")
+
+
 Scorer = Callable[[pd.Series], "pd.Series | list"]
 
 

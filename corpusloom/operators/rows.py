@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.chat import instruction_messages
 from corpusloom.functions.text import clean_text
+from corpusloom.operators.positions import with_next
 
 # Fixed value: columns that mark a table as ready for training.
 TRAINING_COLUMNS = ("messages", "text", "input_ids")
@@ -93,14 +94,13 @@ def min_length(df: DataFrame, length: Column, block: int) -> DataFrame:
 def reply_pairs(turns: DataFrame, key: str = "conv_id", turn: str = "turn") -> DataFrame:
     """(key, turn, instruction, output) of each user turn answered by the next turn.
 
-    The next turn is the next that exists, so gaps in the numbers lose no pair.
-    The window keeps one row ahead; turns of a conversation are sorted, with
-    spilling, but never gathered.
+    The next turn is the next number that exists, so gaps lose no pair; it comes
+    from the keys alone, in ranges of (key, turn), so a long conversation is split.
+    Each role is read with its own filter and joined on the keys. Rows that share
+    a number are all answered by every assistant row of the next number.
     """
-    order = Window.partitionBy(key).orderBy(turn)
-    seen = turns.select(
-        key, turn, "role", F.col("text").alias("instruction"),
-        F.lead("role").over(order).alias("_next"), F.lead("text").over(order).alias("output"),
-    )
-    answered = seen.where((F.col("role") == "user") & (F.col("_next") == "assistant"))
-    return answered.select(key, turn, "instruction", "output")
+    keys = turns.select(key, turn).where(F.col(key).isNotNull() & F.col(turn).isNotNull()).distinct()
+    follows = with_next(keys, [key, turn]).where(F.col(f"_next_{key}") == F.col(key)).select(key, turn, F.col(f"_next_{turn}").alias("_next"))
+    asked = turns.where(F.col("role") == "user").select(key, turn, F.col("text").alias("instruction"))
+    answers = turns.where(F.col("role") == "assistant").select(key, F.col(turn).alias("_next"), F.col("text").alias("output"))
+    return asked.join(follows, [key, turn]).join(answers, [key, "_next"]).select(key, turn, "instruction", "output")

@@ -89,8 +89,10 @@ def token_stream(
     Rows are cut into pieces before the shuffle, so what moves is arrays and not
     single tokens, and no group holds more than ``chunk`` of them.
     """
-    located = df.select(*order_by, ids.alias("_ids")).join(
-        offsets.select(*order_by, "offset", "length").where(F.col("length") > 0), order_by
+    # Joined before encoding: texts are shorter than their ids.
+    starts = offsets.where(F.col("length") > 0).select(*order_by, F.col("offset").alias("_offset"), F.col("length").alias("_length"))
+    located = df.join(starts, order_by).select(
+        *order_by, ids.alias("_ids"), F.col("_offset").alias("offset"), F.col("_length").alias("length")
     )
     end = F.col("offset") + F.col("length")
     first, last = whole_div(F.col("offset"), chunk), whole_div(end - 1, chunk)
@@ -207,16 +209,19 @@ def pad_batches(
     ids: str = "input_ids",
     pad_id: int = 0,
     fills: dict[str, int] | None = None,
+    longest: str | None = None,
 ) -> DataFrame:
     """Pad all token arrays to the longest row of their batch, on the right.
 
-    A batch holds as many rows as the batch size, so its window is bounded.
+    With the length of the longest row in the column ``longest`` no array is
+    shuffled; without it a window over the batch finds it, which is bounded by
+    the batch size.
     """
     fills = {ids: pad_id, "attention_mask": 0, "labels": IGNORED, "token_type_ids": 0, **(fills or {})}
-    longest = F.max(F.size(ids)).over(Window.partitionBy(batch))
+    most = F.max(F.size(ids)).over(Window.partitionBy(batch)) if longest is None else F.col(longest).cast("int")
     present = {name: fill for name, fill in fills.items() if name in df.columns}
     return (
-        df.withColumn("_longest", longest)
+        df.withColumn("_longest", most)
         .withColumns({n: pad_right(F.col(n), F.col("_longest"), fill) for n, fill in present.items()})
         .drop("_longest")
     )

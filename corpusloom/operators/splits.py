@@ -12,8 +12,8 @@ from corpusloom.operators.positions import (
     Cut,
     before_hash_cut,
     hash_cut,
+    key_cut,
     repeatable_hash,
-    row_at,
     running_total,
     whole_div,
 )
@@ -21,17 +21,14 @@ from corpusloom.operators.positions import (
 
 def ordered_cut(df: DataFrame, order_by: list[str], fraction: float = 0.9) -> Cut:
     """The key at position floor(fraction * n): rows before it are the first part."""
-    numbered = running_total(df.select(*order_by), order_by)
-    n = df.count()
-    row = row_at(numbered, "row_index", math.floor(fraction * n))
-    return Cut(tuple(order_by), tuple(row[c] for c in order_by) if row else None)
+    return key_cut(df, order_by, math.floor(fraction * df.count()))
 
 
 def ordered_split(df: DataFrame, order_by: list[str], fraction: float = 0.9) -> DataFrame:
     """Add ``split``: the first floor(fraction * n) rows are "train", the rest "test".
 
-    Only the keys are numbered; the rows themselves get a row-local comparison
-    with the key at the cut.
+    The key at the cut is found from counts; the rows get a row-local comparison
+    with it.
     """
     cut = ordered_cut(df, order_by, fraction)
     return df.withColumn("split", F.when(cut.before(), "train").otherwise("test"))
@@ -85,8 +82,12 @@ def shuffled_batches(
 
 
 def sample_k(df: DataFrame, key: list[str], k: int, seed: int = 42) -> DataFrame:
-    """``k`` random rows without replacement, all rows if there are fewer, none if k <= 0."""
-    return df.orderBy(repeatable_hash(seed, *key), *key).limit(max(k, 0))
+    """``k`` random rows without replacement, all rows if there are fewer, none if k <= 0.
+
+    The cut is found from the keys; the rows are filtered where they are.
+    """
+    cut = hash_cut(df, key, seed, max(k, 0))
+    return df.where(before_hash_cut(cut, key, seed))
 
 
 def sample_preview(df: DataFrame, key: list[str], k: int, seed: int = 42) -> DataFrame:

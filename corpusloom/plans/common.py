@@ -10,6 +10,7 @@ from corpusloom.functions.text import encode_chars
 from corpusloom.operators.positions import whole_div
 from corpusloom.operators.rows import min_length, reply_pairs
 from corpusloom.operators.vocabulary import char_codes, char_vocab
+from corpusloom.session import spread
 from corpusloom.sources.tables import load_table
 
 SYSTEM_TEXT = "You are a helpful assistant."
@@ -25,14 +26,18 @@ def document_codes(docs: DataFrame) -> dict[str, int]:
     return char_codes(char_vocab(docs, "text"))
 
 
-def document_ids(spark: SparkSession, root: str, block: int | None = None) -> DataFrame:
+def document_ids(spark: SparkSession, root: str, block: int | None = None, first: int | None = None) -> DataFrame:
     """(doc_id, ids): every document as character ids, or those with room for one block.
 
-    A text has as many ids as characters, so short ones go before encoding.
+    A text has as many ids as characters, so short ones go before encoding, and
+    where only the ``first`` ids are used the text is cut before encoding.
     """
     docs = documents(spark, root)
     kept = docs if block is None else min_length(docs, F.char_length("text"), block)
-    return kept.select("doc_id", encode_chars(F.col("text"), document_codes(docs)).alias("ids"))
+    text = F.col("text") if first is None else F.substring("text", 1, first)
+    return spread(kept.select("doc_id", text.alias("text")), "doc_id").select(
+        "doc_id", encode_chars(F.col("text"), document_codes(docs)).alias("ids")
+    )
 
 
 def conversations(spark: SparkSession, root: str) -> DataFrame:
@@ -54,10 +59,10 @@ def chat_codes(texts: DataFrame) -> dict[str, int]:
     return char_codes(char_vocab(texts, "text"))
 
 
-def last_prompts(spark: SparkSession, root: str) -> DataFrame:
-    """(prompt_id, prompt): the last user turn of each conversation, partially aggregated."""
+def user_prompts(spark: SparkSession, root: str) -> DataFrame:
+    """(prompt_id, conv_id, prompt): every user turn; the id is "conversation:turn"."""
     users = conversations(spark, root).where(F.col("role") == "user")
-    return users.groupBy(F.col("conv_id").alias("prompt_id")).agg(F.max_by("text", "turn").alias("prompt"))
+    return users.select(F.concat_ws(":", "conv_id", "turn").alias("prompt_id"), "conv_id", F.col("text").alias("prompt"))
 
 
 def vectors(spark: SparkSession, root: str) -> DataFrame:

@@ -7,24 +7,18 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import chars
-from corpusloom.operators.generation import (
-    adapter_models,
-    generate,
-    pack_model,
-    route_to_adapters,
-    score_prompts,
-    top_p_filter,
-)
+from corpusloom.functions.text import chars, keep_known_chars
+from corpusloom.operators.generation import generate_from, route_to_adapters, score_prompts, top_p_filter
 from corpusloom.operators.ngram import bigram_loss, bigram_model, pair_counts
 from corpusloom.operators.sequences import stream_cut, stream_length, stream_offsets
 from corpusloom.plans.common import (
     SQL_CUT,
     SQL_STREAM,
+    document_codes,
     documents,
-    last_prompts,
     sql_digest,
     sql_unit,
+    user_prompts,
 )
 from corpusloom.plans.registry import query
 
@@ -100,8 +94,17 @@ def truncated(spark, root):
     return kept.withColumns({"p": F.round("p", 8), "cum": F.round("cum", 8), "rank": F.col("rank").cast("long")})
 
 
-SQL_PROMPTS = """prompts AS (SELECT conv_id AS prompt_id, arg_max(text, turn) AS prompt
-  FROM conversations WHERE role = 'user' GROUP BY conv_id)"""
+SQL_PROMPTS = """prompts AS (SELECT conv_id || ':' || turn AS prompt_id, conv_id, text AS prompt
+  FROM conversations WHERE role = 'user')"""
+# The last character of a prompt that the vocabulary has.
+SQL_LAST = """list_filter(string_split(prompt, ''), lambda z: list_contains((SELECT list(c) FROM vocab), z))[-1]"""
+
+
+def started(spark, root):
+    """Prompts without characters that the vocabulary lacks, and the character to go on from."""
+    prompts = user_prompts(spark, root)
+    known = keep_known_chars(F.col("prompt"), document_codes(documents(spark, root)))
+    return prompts.withColumn("current", F.substring(known, -1, 1))
 
 
 def _sql_generated(extra: str, on: str, limit: str, keys: str = "") -> str:
@@ -121,14 +124,12 @@ drawn AS (SELECT prompt_id, arg_max(generated, step) AS generated FROM g GROUP B
 @query(
     "generate_prompts",
     f"""WITH RECURSIVE {SQL_BIGRAMS}, {_sql_kept('model', 'prev', str(TEMPERATURE), str(TOP_P))}, {SQL_PROMPTS},
-started AS (SELECT prompt_id, right(prompt, 1) AS current FROM prompts),
+started AS (SELECT prompt_id, {SQL_LAST} AS current FROM prompts),
 {_sql_generated('', '', str(STEPS))}
 SELECT prompt_id, generated FROM drawn""",
 )
 def generated(spark, root):
-    kept = top_p_filter(next_tokens(spark, root), ["prev"], temperature=TEMPERATURE, top_p=TOP_P)
-    prompts = last_prompts(spark, root).select("prompt_id", F.expr("right(prompt, 1)").alias("current"))
-    drawn = generate(prompts, pack_model(kept, ["prev"]), STEPS, STEPS, SEED)
+    drawn = generate_from(started(spark, root), next_tokens(spark, root), TEMPERATURE, TOP_P, STEPS, STEPS, SEED)
     return drawn.select("prompt_id", F.array_join("generated", "").alias("generated"))
 
 
@@ -137,35 +138,20 @@ def generated(spark, root):
     f"""WITH RECURSIVE {SQL_BIGRAMS}, {SQL_PROMPTS},
 adapters AS (SELECT * FROM (VALUES {', '.join(str(row) for row in ADAPTERS)}) t(adapter, temperature, top_p, max_tokens)),
 routed AS (SELECT prompt_id, prompt, adapter, temperature, top_p, max_tokens FROM prompts
-  JOIN adapters ON adapter = CASE WHEN prompt_id % 2 = 0 THEN 'lora1' ELSE 'lora2' END),
+  JOIN adapters ON adapter = CASE WHEN conv_id % 2 = 0 THEN 'lora1' ELSE 'lora2' END),
 models AS (SELECT m.*, adapter, temperature, top_p FROM model m, adapters),
 {_sql_kept('models', 'adapter, prev', 'temperature', 'top_p')},
-started AS (SELECT prompt_id, adapter, max_tokens, right(prompt, 1) AS current FROM routed),
+started AS (SELECT prompt_id, adapter, max_tokens, {SQL_LAST} AS current FROM routed),
 {_sql_generated('adapter, max_tokens, ', ' AND packed.adapter = g.adapter', 'g.max_tokens', 'adapter, ')}
 SELECT prompt_id, adapter, temperature::DOUBLE AS temperature, top_p::DOUBLE AS top_p, max_tokens, generated
 FROM routed JOIN drawn USING (prompt_id)""",
 )
 def routed(spark, root):
     adapters = spark.createDataFrame(list(ADAPTERS), ADAPTER_SCHEMA)
-    prompts = last_prompts(spark, root).select(
-        "prompt_id",
-        F.expr("right(prompt, 1)").alias("current"),
-        F.when(F.pmod("prompt_id", F.lit(2)) == 0, ADAPTERS[0][0]).otherwise(ADAPTERS[1][0]).alias("adapter"),
-    )
-    group = ["adapter", "prev"]
-    kept = top_p_filter(
-        adapter_models(next_tokens(spark, root), adapters),
-        group,
-        temperature=F.col("temperature"),
-        top_p=F.col("top_p"),
-    )
-    drawn = generate(
-        route_to_adapters(prompts, adapters),
-        pack_model(kept, group),
-        F.col("max_tokens"),
-        MAX_STEPS,
-        SEED,
-        group=("adapter",),
+    name = F.when(F.pmod("conv_id", F.lit(2)) == 0, ADAPTERS[0][0]).otherwise(ADAPTERS[1][0])
+    prompts = route_to_adapters(started(spark, root).withColumn("adapter", name), adapters)
+    drawn = generate_from(
+        prompts, next_tokens(spark, root), F.col("temperature"), F.col("top_p"), F.col("max_tokens"), MAX_STEPS, SEED
     )
     return drawn.select(
         "prompt_id",
@@ -200,6 +186,6 @@ SELECT prompt_id, prompt, (SELECT string_agg(word, ', ' ORDER BY rank) FROM r WH
 FROM prompts p""",
 )
 def scored(spark, root):
-    return score_prompts(last_prompts(spark, root), frequent_words)
+    return score_prompts(user_prompts(spark, root).select("prompt_id", "prompt"), frequent_words)
 
 

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import response_labels
-from corpusloom.functions.text import words
-from corpusloom.operators.metrics import corpus_bleu, metrics_report, token_accuracy
-from corpusloom.plans.common import SQL_CHAT_IDS, documents, pairs, sql_words
+from corpusloom.functions.text import decode_chars, words
+from corpusloom.operators import bpe
+from corpusloom.operators.metrics import corpus_bleu, evaluate, token_accuracy
+from corpusloom.operators.vocabulary import code_tokens
+from corpusloom.plans.common import SQL_CHAT_IDS, chat_codes, documents, joined, rendered_pairs, sql_words
 from corpusloom.plans.registry import query
-from corpusloom.plans.sequences import SQL_CHAT_JOIN, SQL_MASKED, chat_ids
+from corpusloom.plans.sequences import MARKER, SQL_CHAT_JOIN, SQL_MASKED, chat_ids
+from corpusloom.plans.tokens import trained_tokenizer
+from corpusloom.session import spread
 
 
 def spoiled_text(text):
@@ -78,15 +82,19 @@ accuracy AS (SELECT round(sum(good)::DOUBLE / sum(counted), 6) AS accuracy, sum(
   sum(counted)::BIGINT AS n_counted FROM hits)"""
 
 
-def accuracy(spark, root):
+def next_guess(ids):
     """The next token as prediction, but wrong at every seventh position."""
-    rows, marker = chat_ids(spark, root)
-    ids = F.col("ids")
-    guess = F.transform(
+    return F.transform(
         ids, lambda _, i: F.when(F.pmod(i, F.lit(7)) != 0, F.coalesce(F.get(ids, i + 1), F.lit(-1))).otherwise(-1)
     )
-    scored = rows.select(guess.alias("predictions"), response_labels(ids, marker).alias("labels"))
-    return rounded(token_accuracy(scored, "predictions", "labels"), ["accuracy"])
+
+
+def scored(rows, marker):
+    return rows.select(next_guess(F.col("ids")).alias("predictions"), response_labels(F.col("ids"), marker).alias("labels"))
+
+
+def accuracy(spark, root):
+    return rounded(token_accuracy(scored(*chat_ids(spark, root)), "predictions", "labels"), ["accuracy"])
 
 
 @query("token_accuracy", f"WITH {SQL_CHAT_IDS}, {SQL_ACCURACY} SELECT accuracy, n_right, n_counted FROM accuracy")
@@ -100,7 +108,7 @@ def token_accuracy_query(spark, root):
 {sql_bleu('src', 'doc_id')} SELECT * FROM bleu""",
 )
 def document_bleu(spark, root):
-    rows = documents(spark, root).select(
+    rows = spread(documents(spark, root), "doc_id").select(
         "doc_id", spoiled_text(F.col("text")).alias("prediction"), F.col("text").alias("reference")
     )
     return rounded(corpus_bleu(rows, "prediction", "reference"), ROUNDED)
@@ -109,17 +117,40 @@ def document_bleu(spark, root):
 @query(
     "metrics_report",
     f"""WITH {SQL_CHAT_IDS}, {SQL_ACCURACY},
-src AS (SELECT conv_id, turn, {sql_spoiled('output')} AS prediction, output AS reference FROM pairs),
+src AS (SELECT conv_id, turn, substr(r.text, {SQL_MASKED} + 1) AS reference,
+  array_to_string(list_transform(list_filter(range({SQL_MASKED} + 1, len(e.ids) + 1), lambda i: (i - 2) % 7 <> 0),
+    lambda i: substr(r.text, i, 1)), '') AS prediction FROM {SQL_CHAT_JOIN}),
 {sql_bleu('src', 'conv_id, turn')} SELECT * FROM bleu, accuracy""",
 )
 def report(spark, root):
-    rows = pairs(spark, root).select(
-        "conv_id",
-        "turn",
-        spoiled_text(F.col("output")).alias("prediction"),
-        F.col("output").alias("reference"),
-    )
-    bleu = rounded(corpus_bleu(rows, "prediction", "reference"), ROUNDED)
-    return metrics_report(bleu, accuracy(spark, root))
+    """All metrics of one prediction column of character ids."""
+    rows, marker = chat_ids(spark, root)
+    tokens = code_tokens(chat_codes(rendered_pairs(spark, root)))
+    record = evaluate(scored(rows, marker), "predictions", "labels", lambda ids: decode_chars(ids, tokens, unknown="drop"))
+    return rounded(record, [*ROUNDED, "accuracy"])
+
+
+def chat_bpe_ids(spark, root):
+    """(conv_id, turn, ids) of the rendered pairs, the marker's ids, and the tokenizer."""
+    tokenizer = trained_tokenizer(spark, root)
+    texts = spread(rendered_pairs(spark, root), "conv_id", "turn")
+    rows = texts.select("conv_id", "turn", bpe.encode(F.col("text"), tokenizer).alias("ids"))
+    return rows, bpe.encode_text(MARKER, tokenizer), tokenizer
 
 
+@query("response_labels_bpe")
+def labels_bpe(spark, root):
+    """Response-only labels on byte-pair ids."""
+    rows, marker, _ = chat_bpe_ids(spark, root)
+    return rows.select("conv_id", "turn", joined(response_labels(F.col("ids"), marker)).alias("labels"))
+
+
+@query("metrics_report_bpe")
+def report_bpe(spark, root):
+    """All metrics of one prediction column of byte-pair ids; special tokens are not decoded."""
+    rows, marker, tokenizer = chat_bpe_ids(spark, root)
+    # The guess at a wrong position is the padding token.
+    guessed = scored(rows, marker).withColumn(
+        "predictions", F.transform("predictions", lambda p: F.when(p < 0, F.lit(tokenizer.pad_id)).otherwise(p))
+    )
+    return rounded(evaluate(guessed, "predictions", "labels", lambda ids: bpe.decode(ids, tokenizer)), [*ROUNDED, "accuracy"])

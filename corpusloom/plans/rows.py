@@ -35,8 +35,7 @@ def load_documents(spark, root):
 @query("load_split", "SELECT doc_id, text FROM (SELECT *, lang AS split FROM documents) WHERE split = 'en'")
 def load_split(spark, root):
     # The language column plays the part of the split name.
-    docs = load_table(spark, root, "documents", ["doc_id", "text", "lang"])
-    return docs.withColumnRenamed("lang", "split").where(F.col("split") == "en").select("doc_id", "text")
+    return load_table(spark, root, "documents", ["doc_id", "text"], split="en", split_column="lang")
 
 
 @query("json_roundtrip", "SELECT conv_id, turn, role, text FROM conversations")

@@ -48,6 +48,7 @@ from corpusloom.plans.common import (
     sql_hash_integer,
 )
 from corpusloom.plans.registry import query
+from corpusloom.session import spread
 
 MAX_LENGTH = 512
 CHUNK = 1024
@@ -128,7 +129,7 @@ def aux_arrays(spark, root):
     f"least(len(ids), {MAX_LENGTH})::BIGINT AS n FROM enc",
 )
 def truncated(spark, root):
-    rows = document_ids(spark, root).select("doc_id", truncate(F.col("ids"), MAX_LENGTH).alias("ids"))
+    rows = document_ids(spark, root, first=MAX_LENGTH).select("doc_id", truncate(F.col("ids"), MAX_LENGTH).alias("ids"))
     return rows.select("doc_id", joined(F.col("ids")).alias("input_ids"), F.size("ids").cast("long").alias("n"))
 
 
@@ -150,7 +151,7 @@ SELECT doc_id, t, array_to_string(ids[1:t + 1], ' ') AS context, ids[t + 2] AS t
 FROM enc, t WHERE t + 2 <= len(ids)""",
 )
 def contexts(spark, root):
-    rows = context_rows(document_ids(spark, root), ["doc_id"], "ids", BLOCK)
+    rows = context_rows(document_ids(spark, root, first=BLOCK + 1), ["doc_id"], "ids", BLOCK)
     return rows.select(
         "doc_id",
         F.col("t").cast("long").alias("t"),
@@ -188,7 +189,7 @@ def split_stream(spark, root):
     docs = documents(spark, root)
     offsets = document_offsets(docs)
     cut = stream_cut(offsets, ["doc_id"], math.floor(0.9 * stream_length(offsets)))
-    rows = stream_split(docs, encode_chars(F.col("text"), document_codes(docs)), cut)
+    rows = stream_split(spread(docs, "doc_id"), encode_chars(F.col("text"), document_codes(docs)), cut)
     return rows.select(
         "doc_id", "split", F.size("tokens").cast("long").alias("n_tokens"), joined(F.col("tokens")).alias("tokens")
     )
@@ -201,7 +202,7 @@ def split_stream(spark, root):
 )
 def first_blocks(spark, root):
     ids = F.col("ids")
-    rows = document_ids(spark, root, block=BLOCK)
+    rows = document_ids(spark, root, block=BLOCK, first=BLOCK + 1)
     return rows.select(
         "doc_id", joined(block_input(ids, BLOCK)).alias("x"), joined(block_target(ids, BLOCK)).alias("y")
     )
@@ -260,18 +261,23 @@ SELECT conv_id, turn, batch_id, {_sql_padded('ids', 0)} AS input_ids, {_sql_padd
   {_sql_padded('list_transform(ids, lambda i: 0)', 0)} AS token_type_ids FROM sized""",
 )
 def padded(spark, root):
+    """Batch numbers come from keys, the longest row from lengths; ids are cut and padded where they are."""
     rows, marker = chat_ids(spark, root)
-    batches = seq_batches(rows.select("conv_id", "turn"), ["conv_id", "turn"], BATCH)
+    keys = ["conv_id", "turn"]
+    texts = rendered_pairs(spark, root)
+    batches = seq_batches(texts.select(*keys, F.char_length("text").alias("length")), keys, BATCH)
+    longest = batches.groupBy("batch_id").agg(F.max("length").alias("longest"))
+    sized = batches.select(*keys, "batch_id").join(longest, "batch_id")
     ids = F.col("ids")
-    prepared = rows.join(batches.select("conv_id", "turn", "batch_id"), ["conv_id", "turn"]).select(
-        "conv_id",
-        "turn",
+    prepared = rows.join(sized, keys).select(
+        *keys,
         "batch_id",
+        "longest",
         ids.alias("input_ids"),
         response_labels(ids, marker).alias("labels"),
         attention_mask(ids).alias("attention_mask"),
         token_types(ids).alias("token_type_ids"),
     )
-    done = pad_batches(prepared)
+    done = pad_batches(prepared, longest="longest")
     arrays = ("input_ids", "labels", "attention_mask", "token_type_ids")
     return done.select("conv_id", "turn", "batch_id", *[joined(F.col(a)).alias(a) for a in arrays])

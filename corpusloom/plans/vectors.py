@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import argmax, cross_entropy, softmax
 from corpusloom.operators.metrics import loss_by_split, loss_history
-from corpusloom.operators.splits import ordered_split, seq_batches
-from corpusloom.operators.vectors import causal_mean, last_vector, similar_history
+from corpusloom.operators.positions import running_total, whole_div
+from corpusloom.operators.vectors import causal_mean, last_vector, similar_history, sliding_history
 from corpusloom.plans.common import BLOCK, VECTOR_DIM, joined_doubles, vectors
 from corpusloom.plans.registry import query
-from corpusloom.session import materialize
 
 SQL_VECTORS = f"""v AS (SELECT vec_id, vec_id // {BLOCK} AS seq, vec_id % {BLOCK} AS pos, label,
   list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings)"""
@@ -53,6 +54,28 @@ def history(spark, root):
     return rows.select("seq", "pos", joined_doubles(F.col("output")).alias("output"))
 
 
+LONG = 64
+
+
+@query(
+    "sliding_history",
+    f"""WITH v AS (SELECT vec_id // {LONG} AS seq, vec_id % {LONG} AS pos, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+s AS (SELECT i.seq, i.pos, j.e AS val,
+    list_sum(list_transform(i.e, lambda a, k: a * j.e[k])) * {VECTOR_DIM}::DOUBLE ** -0.5 AS score
+  FROM v i JOIN v j ON i.seq = j.seq AND j.pos <= i.pos AND j.pos > i.pos - {BLOCK}),
+w AS (SELECT *, exp(score - max(score) OVER p) AS num FROM s WINDOW p AS (PARTITION BY seq, pos)),
+n AS (SELECT *, num / sum(num) OVER (PARTITION BY seq, pos) AS weight FROM w),
+d AS (SELECT seq, pos, weight, unnest(val) AS x, generate_subscripts(val, 1) AS dim FROM n),
+o AS (SELECT seq, pos, dim, sum(weight * x) AS output FROM d GROUP BY seq, pos, dim)
+SELECT seq, pos, string_agg((round(output * 100000)::BIGINT)::VARCHAR, ' ' ORDER BY dim) AS output FROM o GROUP BY seq, pos""",
+)
+def sliding(spark, root):
+    """Sequences longer than the context: each position sees its last rows only."""
+    rows = vectors(spark, root).select("embedding", whole_div(F.col("vec_id"), LONG).alias("seq"), F.pmod("vec_id", F.lit(LONG)).alias("pos"))
+    found = sliding_history(rows, "seq", "pos", "embedding", "embedding", "embedding", VECTOR_DIM, BLOCK)
+    return found.select("seq", "pos", joined_doubles(F.col("output")).alias("output"))
+
+
 @query(
     "softmax_rows",
     f"""WITH {SQL_VECTORS}, {SQL_EXPS} SELECT vec_id,
@@ -95,14 +118,16 @@ b AS (SELECT *, (row_number() OVER (PARTITION BY split ORDER BY vec_id) - 1) //
 
 
 def batch_losses(spark, root):
+    """(vec_id, loss, split, batch_id): rows are numbered once, batches begin anew in the second part."""
     rows = vectors(spark, root)
-    marked = ordered_split(
-        rows.select("vec_id", cross_entropy(F.col("embedding"), F.col("label")).alias("loss")), ["vec_id"]
+    losses = rows.select("vec_id", cross_entropy(F.col("embedding"), F.col("label")).alias("loss"))
+    index, n_train = F.col("row_index"), math.floor(0.9 * rows.count())
+    return running_total(losses, ["vec_id"]).select(
+        "vec_id",
+        "loss",
+        F.when(index < n_train, "train").otherwise("test").alias("split"),
+        whole_div(F.when(index < n_train, index).otherwise(index - n_train), 32).alias("batch_id"),
     )
-    marked = materialize(marked, "losses")
-    # Batches are made inside each split, so none holds rows of both.
-    numbered = [seq_batches(marked.where(F.col("split") == name).select("vec_id"), ["vec_id"], 32) for name in ("train", "test")]
-    return marked.join(numbered[0].unionByName(numbered[1]), "vec_id")
 
 
 @query(

@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Setting that names the number of partitions for ``spread``; unset on a cluster.
+PARTITIONS = "spark.corpusloom.partitions"
+
+
 def local_session(cores: str = "*", app: str = "corpusloom", **extra: str) -> SparkSession:
     """Session for tests and the bench; on a cluster use the session you are given."""
     settings = {
@@ -19,8 +23,8 @@ def local_session(cores: str = "*", app: str = "corpusloom", **extra: str) -> Sp
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # Small test files, read by several tasks where they have several row groups.
-        "spark.sql.files.maxPartitionBytes": "1m",
+        # A small test file has one row group, which one task would read and work on.
+        PARTITIONS: cores if cores.isdigit() else "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "12g",
         **extra,
@@ -64,6 +68,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` in as many partitions as the session's setting says, or as it is without one.
+
+    For narrow input of work inside Python or long expressions, where files have
+    fewer row groups than there are cores. The caller decides, not the data.
+    """
+    wanted = df.sparkSession.conf.get(PARTITIONS, None)
+    return df.repartition(int(wanted), *keys) if wanted else df
+
+
 def collect_bounded(df: DataFrame, bound: int, what: str) -> list:
     """Rows of a table whose size has a known bound; an error if it is larger."""
     rows = df.limit(bound + 1).collect()

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.operators.positions import key_cut
+
 PROMPT_SCHEMA = T.StructType(
     [T.StructField("prompt_id", T.LongType(), False), T.StructField("prompt", T.StringType(), False)]
 )
@@ -19,6 +21,7 @@ def load_table(
     name: str,
     columns: list[str] | None = None,
     split: str | None = None,
+    split_column: str = "split",
 ) -> DataFrame:
     """Read dataset ``name`` below ``root``, all splits or one.
 
@@ -27,22 +30,28 @@ def load_table(
     """
     df = spark.read.parquet(os.path.join(root, f"{name}.parquet"))
     if split is not None:
-        df = df.where(F.col("split") == split)
+        df = df.where(F.col(split_column) == split)
     if columns is not None:
         df = df.select(*columns)
     return df
 
 
 def head_slice(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
-    """The first ``n`` rows in key order, as one distributed top-n."""
-    return df.orderBy(*order_by).limit(n)
+    """The first ``n`` rows in key order."""
+    return row_slice(df, order_by, 0, n)
 
 
 def row_slice(df: DataFrame, order_by: list[str], start: int, count: int = 1) -> DataFrame:
-    """Rows ``start`` to ``start + count - 1`` in key order."""
+    """Rows ``start`` to ``start + count - 1`` in key order; ``order_by`` identifies a row.
+
+    Two cuts are found from the keys alone; only the rows of the slice are sorted.
+    """
     if start < 0 or count < 0:
         raise ValueError("start and count must not be negative")
-    return df.orderBy(*order_by).offset(start).limit(count)
+    rows = df.where(key_cut(df, order_by, start + count).before())
+    if start:
+        rows = rows.where(~key_cut(df, order_by, start).before())
+    return rows.orderBy(*order_by)
 
 
 def prompts_from_list(spark: SparkSession, prompts: list[str]) -> DataFrame:

@@ -7,23 +7,35 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import chars
-from corpusloom.operators import bpe
+from corpusloom.operators import bpe, bpe_training
+from corpusloom.operators.bpe_training import train_bpe
 from corpusloom.operators.generation import (
     adapter_models,
     generate,
+    generate_from,
     pack_model,
     route_to_adapters,
     score_prompts,
     top_p_filter,
 )
+from corpusloom.operators.merging import MergeTable, merge_one, merge_words
 from corpusloom.operators.ngram import bigram_loss, bigram_model, boundary_tokens, pair_counts
 from corpusloom.operators.sequences import stream_cut, stream_length, stream_offsets
 from corpusloom.operators.vocabulary import word_freq
+from corpusloom.plans import tokens
+from corpusloom.plans.common import documents, rendered_pairs
+from corpusloom.plans.registry import load_all
+from corpusloom.plans.sequences import MARKER
+from tests import bpe_sql
+from tests.compare import connect, difference
+
+QUERIES = load_all()
 
 
 def one_by_one(counts: dict[str, int], specials, merges: int):
@@ -58,68 +70,147 @@ def one_by_one(counts: dict[str, int], specials, merges: int):
     return tuple(tokens), tuple(done)
 
 
+BOUNDS = [dict(looked_at=50, fetched_words=0, neighbours_of=50), dict(looked_at=4, fetched_words=6, neighbours_of=3), {}]
+
+
+@pytest.mark.parametrize("bounds", BOUNDS)
 @pytest.mark.parametrize("seed, letters", [(0, "ab"), (1, "abc"), (2, "abcdefgh가나")])
-def test_batched_training_equals_one_by_one(spark, seed, letters):
+def test_training_in_rounds_equals_one_by_one(spark, seed, letters, bounds):
     rng = random.Random(seed)
     counts = Counter("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(120))
     table = spark.createDataFrame(list(counts.items()), "word string, n long")
-    tokenizer = bpe.train_bpe(table, max_merges=40)
-    assert (tokenizer.tokens, tokenizer.merges) == one_by_one(counts, bpe.SPECIAL_TOKENS, 40)
+    tokenizer = train_bpe(table, max_merges=25, **bounds)
+    assert (tokenizer.tokens, tokenizer.merges) == one_by_one(counts, bpe.SPECIAL_TOKENS, 25)
 
 
-def test_independent_prefix_is_exact():
-    """Against plain merging on many small random corpora, without Spark."""
+def in_rounds(counts, merges, looked_at, fetched_words, neighbours_of):
+    """The rounds of the trainer without Spark."""
+    vocabulary = bpe_training._Vocabulary(sorted({c for w in counts for c in w}), 1 << 30, merges)
+    words = [([vocabulary.codes[c] for c in w], n) for w, n in counts.items()]
+    while not vocabulary.full:
+        pairs, held = Counter(), Counter()
+        for ids, n in words:
+            for pair, times in Counter(zip(ids, ids[1:])).items():
+                pairs[pair] += n * times
+                held[pair] += 1
+        top = sorted(((*p, n) for p, n in pairs.items()), key=lambda t: (-t[2], t[:2]))[: looked_at + 1]
+        if not top:
+            break
+        few = min(int(np.searchsorted(np.cumsum([held[t[:2]] for t in top]), fetched_words, side="right")), looked_at)
+        ranked = top[:few] if few else top[:neighbours_of]
+        rest = top[len(ranked)] if len(ranked) < len(top) else None
+        limit = (-rest[2], *rest[:2]) if rest else None
+        known = {t[:2]: t[2] for t in ranked}
+        if few:
+            inside = [(ids, n) for ids, n in words if any(p in known for p in zip(ids, ids[1:]))]
+            steps = bpe_training.merges_in_words(inside, known, limit, vocabulary)
+        else:
+            place, beside = {t[:2]: p for p, t in enumerate(ranked)}, defaultdict(Counter)
+            for ids, n in words:
+                for i, pair in enumerate(zip(ids, ids[1:])):
+                    if pair in place and i > 0:
+                        beside[place[pair], 0][ids[i - 1]] += n
+                    if pair in place and i + 2 < len(ids):
+                        beside[place[pair], 1][ids[i + 2]] += n
+            steps = bpe_training.merges_by_bounds(ranked, {k: list(c.items()) for k, c in beside.items()}, limit, vocabulary)
+        assert steps
+        table = MergeTable(steps)
+        words = [(merge_words(np.array(ids), np.zeros(len(ids)), table)[0].tolist(), n) for ids, n in words]
+    return tuple(vocabulary.tokens), tuple(vocabulary.merges)
+
+
+def test_every_round_is_exact():
+    """Against plain merging on many small random corpora, for all kinds of rounds."""
     rng = random.Random(5)
+    for _ in range(150):
+        letters = "abcde"[: rng.randint(1, 5)]
+        counts = Counter("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(rng.randint(1, 50)))
+        want = one_by_one(counts, (), 25)
+        for bounds in ((50, 0, 50), (3, 0, 2), (4, 6, 3), (100, 1000, 5), (10, 12, 10)):
+            assert in_rounds(counts, 25, *bounds) == want
+
+
+def test_words_merge_at_once_as_one_by_one():
+    rng = random.Random(1)
     for _ in range(400):
-        letters = "abcde"[: rng.randint(2, 5)]
-        counts = Counter("".join(rng.choices(letters, k=rng.randint(1, 7))) for _ in range(rng.randint(1, 30)))
-        tokens, merges = one_by_one(counts, (), 12)
-        codes = {c: i for i, c in enumerate(sorted({c for w in counts for c in w}))}
-        pairs = Counter()
-        for word, n in counts.items():
-            for a, b in zip(word, word[1:]):
-                pairs[codes[a], codes[b]] += n
-        ranked = sorted(((a, b, n) for (a, b), n in pairs.items()), key=lambda p: (-p[2], p[0], p[1]))
-        for limit in (len(ranked), 3):
-            if ranked:
-                taken = bpe._independent(ranked[:limit], complete=limit >= len(ranked))
-                firsts = [m[:2] for m in merges[: len(taken)]]
-                assert taken[: len(firsts)] == firsts
+        k = rng.randint(1, 4)
+        merges = [(rng.randrange(k + i), rng.randrange(k + i), k + i) for i in range(rng.randint(1, 6))]
+        words = [[rng.randrange(k) for _ in range(rng.choice([0, 1, 3, 9, 1500]))] for _ in range(rng.randint(1, 5))]
+        table = MergeTable(merges)
+        ids, word = merge_words(np.array(sum(words, [])), np.repeat(np.arange(len(words)), [len(w) for w in words]), table)
+        assert [ids[word == w].tolist() for w in range(len(words))] == [merge_one(w, table.ranks) for w in words]
 
 
 def test_vocab_size_stops_training(spark):
     table = spark.createDataFrame([("abcabc", 3), ("aaaa", 2)], "word string, n long")
-    assert len(bpe.train_bpe(table, vocab_size=9).tokens) == 9
-    assert len(bpe.train_bpe(table, vocab_size=5).merges) == 0
-    everything = bpe.train_bpe(table)
+    assert len(train_bpe(table, vocab_size=9).tokens) == 9
+    assert len(train_bpe(table, vocab_size=5).merges) == 0
+    everything = train_bpe(table)
     assert "abcabc" in everything.tokens and "aaaa" in everything.tokens
+    assert train_bpe(table.limit(0)).tokens == bpe.SPECIAL_TOKENS
+
+
+ROOT = "/root/testdata/sf0.001"
 
 
-def test_equal_to_the_library(spark):
+def test_small_vocabulary_equals_sql(spark):
+    con = connect(ROOT)
+    small = train_bpe(word_freq(documents(spark, ROOT), "text"), max_merges=bpe_sql.MERGES)
+    assert difference(small.merge_table(spark), con, bpe_sql.SQL_MERGES) is None
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    assert difference(tokens.encoded_documents(spark, ROOT, small).select("doc_id", ids.alias("ids")), con, bpe_sql.SQL_ENCODE) is None
+    assert difference(tokens.decoded_documents(spark, ROOT, small), con, bpe_sql.SQL_DECODE) is None
+    assert difference(tokens.token_counts(spark, ROOT, small), con, bpe_sql.SQL_TOKENS) is None
+
+
+def test_full_vocabulary_equals_the_library(spark):
     tokenizers = pytest.importorskip("tokenizers")
-    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    docs = documents(spark, ROOT)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     library = tokenizers.Tokenizer(tokenizers.models.BPE(unk_token="<unk>"))
     library.pre_tokenizer = tokenizers.pre_tokenizers.Whitespace()
-    size = 4 + 99 + 60
-    library.train_from_iterator(
-        texts,
-        tokenizers.trainers.BpeTrainer(special_tokens=list(bpe.SPECIAL_TOKENS), vocab_size=size, show_progress=False),
-    )
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    ours = bpe.train_bpe(word_freq(docs, "text"), size)
+    trainer = tokenizers.trainers.BpeTrainer(special_tokens=list(bpe.SPECIAL_TOKENS), vocab_size=bpe.VOCAB_SIZE, show_progress=False)
+    library.train_from_iterator(texts.values(), trainer)
+    ours = tokens.trained_tokenizer(spark, ROOT)
+    assert len(ours.tokens) == 10_000
     assert list(ours.tokens) == [t for t, _ in sorted(library.get_vocab().items(), key=lambda x: x[1])]
+    for row in QUERIES["bpe_encode"][0](spark, ROOT).collect():
+        assert row["ids"] == " ".join(map(str, library.encode(texts[row["doc_id"]], add_special_tokens=False).ids))
+    for row in QUERIES["bpe_decode"][0](spark, ROOT).collect():
+        ids = library.encode(texts[row["doc_id"]], add_special_tokens=False).ids + [ours.id_of(bpe.END)]
+        assert row["text"] == library.decode(ids, skip_special_tokens=True)
+        assert row["text_with_specials"] == library.decode(ids, skip_special_tokens=False)
+    assert QUERIES["bpe_merges"][0](spark, ROOT).count() == len(ours.merges)
+    found = {r["token"]: r["n"] for r in QUERIES["ids_to_tokens"][0](spark, ROOT).collect()}
+    assert found == Counter(t for text in texts.values() for t in library.encode(text, add_special_tokens=False).tokens)
+    again = QUERIES["bpe_roundtrip"][0](spark, ROOT).first()
+    assert (again["n_texts"], again["n_lost"]) == (len(texts), 0)
+    assert again["n_mismatch"] == sum(library.decode(library.encode(t, add_special_tokens=False).ids, skip_special_tokens=False) != t for t in texts.values())
+    vocab = {r["id"]: (r["token"], r["is_special"], r["pad_id"]) for r in QUERIES["vocab_roundtrip"][0](spark, ROOT).collect()}
+    assert vocab == {i: (t, i < 4, 3) for i, t in enumerate(ours.tokens)}
+
+
+def test_unseen_characters_specials_and_long_words(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    texts = ["the cat then sat there", "that other thing the", "here the rather"]
+    library = tokenizers.Tokenizer(tokenizers.models.BPE(unk_token="<unk>"))
+    library.pre_tokenizer = tokenizers.pre_tokenizers.Whitespace()
+    trainer = tokenizers.trainers.BpeTrainer(special_tokens=list(bpe.SPECIAL_TOKENS), vocab_size=40, show_progress=False)
+    library.train_from_iterator(texts, trainer)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    ours = train_bpe(word_freq(docs, "text"), 40)
     glued = [f"x{s}the {s} {s}{s}" for s in bpe.SPECIAL_TOKENS] + ["hello</s>", "<s>the</s>the", "the" * 20_000, "</s", "<pad></pad>"]
     extra = spark.createDataFrame([(t,) for t in ["안녕 unseen 漢字 the", "", *glued]], "text string")
-    rows = docs.union(extra).select(
-        "text",
-        bpe.encode(F.col("text"), ours).alias("ids"),
-    ).withColumns({"tokens": bpe.ids_to_tokens(F.col("ids"), ours), "back": bpe.decode(F.col("ids"), ours)})
+    rows = docs.union(extra).select("text", bpe.encode(F.col("text"), ours).alias("ids"))
+    rows = rows.withColumns({"tokens": bpe.ids_to_tokens(F.col("ids"), ours), "back": bpe.decode(F.col("ids"), ours)})
     for row in rows.collect():
         expected = library.encode(row["text"], add_special_tokens=False)
         assert row["ids"] == expected.ids
         # Unknown characters show as the unknown token here, as their own text in the library.
         assert row["tokens"] == [library.id_to_token(i) for i in expected.ids]
         assert row["back"] == library.decode(expected.ids, skip_special_tokens=True)
+    nulls = spark.createDataFrame([(None,), ("the",), (None,)], "text string").coalesce(1)
+    assert [r[0] is None for r in nulls.select(bpe.encode(F.col("text"), ours)).collect()] == [True, False, True]
 
 
 def brute_pairs(texts, fraction):
@@ -242,6 +333,41 @@ def test_adapters(spark, model):
         route_to_adapters(lost, adapters).collect()
 
 
+@pytest.mark.parametrize("temperature, top_p", [(1.0, 1.0), (1.0, 0.5), (0.5, 0.9), (2.0, 0.0)])
+def test_generation_for_reached_tokens_only(spark, model, temperature, top_p):
+    prompts = spark.createDataFrame([(f"{i}:{i % 3}", "abcz"[i % 4], temperature, top_p, i % 7) for i in range(40)], "prompt_id string, current string, t double, tp double, n int")
+    rows = generate_from(prompts, model, F.col("t"), F.col("tp"), F.col("n"), 6, seed=3, durable_every=4).collect()
+    table = {prev: kept_by_hand([(n, p) for a, n, p in MODEL if a == prev], temperature, top_p) for prev in "abc"}
+    assert len(rows) == 40
+    for r in rows:
+        assert r["generated"] == walk(table, 3, r["prompt_id"], r["current"], r["n"])
+
+
+def test_every_user_turn_is_a_prompt(spark):
+    turns = spark.read.parquet(f"{ROOT}/conversations.parquet").where("role = 'user'").count()
+    for name in ("generate_prompts", "adapter_routing", "score_prompts"):
+        assert QUERIES[name][0](spark, ROOT).count() == turns
+
+
+def test_metrics_on_byte_pair_ids(spark):
+    """The record of the registered query against the library's ids, row by row."""
+    tokenizer = tokens.trained_tokenizer(spark, ROOT)
+    marker = bpe.encode_text(MARKER, tokenizer)
+    texts = rendered_pairs(spark, ROOT).select("conv_id", "turn", "text", bpe.encode(F.col("text"), tokenizer).alias("ids")).collect()
+    labels = {(r["conv_id"], r["turn"]): r["labels"] for r in QUERIES["response_labels_bpe"][0](spark, ROOT).collect()}
+    right = counted = 0
+    for r in texts:
+        ids = r["ids"]
+        start = next(i for i in range(len(ids)) if ids[i : i + len(marker)] == marker) + len(marker)
+        want = [-100] * start + ids[start:]
+        assert labels[r["conv_id"], r["turn"]] == " ".join(map(str, want))
+        guess = [(ids[i + 1] if i + 1 < len(ids) else 3) if i % 7 else 3 for i in range(len(ids))]
+        right += sum(g == x for g, x in zip(guess, want[1:]) if x != -100)
+        counted += len(ids) - start
+    got = QUERIES["metrics_report_bpe"][0](spark, ROOT).first()
+    assert (got["n_right"], got["n_counted"]) == (right, counted) and 0 < got["bleu"] < 1
+
+
 def test_scoring_plug_in(spark):
     def make():
         calls = []

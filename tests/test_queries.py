@@ -20,8 +20,12 @@ def con():
     return connect(ROOT)
 
 
-def test_every_query_of_the_library_has_a_sql_form():
-    assert {name for name, (_, sql) in LIBRARY.items() if sql is None} == set()
+#: Thousands of dependent merges have no SQL form; see test_models.py.
+NO_SQL = {"bpe_merges", "bpe_encode", "bpe_decode", "ids_to_tokens", "vocab_roundtrip", "bpe_roundtrip", "response_labels_bpe", "metrics_report_bpe"}
+
+
+def test_every_other_query_of_the_library_has_a_sql_form():
+    assert {name for name, (_, sql) in LIBRARY.items() if sql is None} == NO_SQL
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.chat import messages
-from corpusloom.operators.bpe import BpeTokenizer, train_bpe
+from corpusloom.operators.bpe import BpeTokenizer
+from corpusloom.operators.bpe_training import train_bpe
 from corpusloom.operators.vocabulary import word_freq
 from corpusloom.session import collect_bounded
 from corpusloom.sources.json_splits import CHAT_SCHEMA, load_splits, read_json, write_json
@@ -15,7 +16,7 @@ from corpusloom.sources.tables import (
     prompts_from_table,
     row_slice,
 )
-from corpusloom.sources.tokenizer_store import load_tokenizer, save_tokenizer
+from corpusloom.sources.tokenizer_store import load_tokenizer, read_manifest, save_tokenizer, stored_tokenizer, table_digest
 from corpusloom.streaming.chat_text import chat_text, write_new_rows
 
 
@@ -75,6 +76,37 @@ def test_tokenizer_store(spark, tmp_path):
     assert load_tokenizer(spark, str(tmp_path / "tok")) == tokenizer
 
 
+def test_roles_survive_the_store(spark, tmp_path):
+    specials = ("[PAD]", "[UNK]", "[EOS]")
+    tokenizer = BpeTokenizer((*specials, "a", "b", "ab"), ((3, 4, 5),), unknown="[UNK]", pad="[PAD]", end="[EOS]", specials=specials)
+    save_tokenizer(spark, tokenizer, str(tmp_path / "tok"))
+    again = load_tokenizer(spark, str(tmp_path / "tok"))
+    assert again == tokenizer and again.pad_id == 0
+    without = BpeTokenizer((*specials, "a"), (), unknown=None, pad=None, end="[EOS]", specials=specials)
+    save_tokenizer(spark, without, str(tmp_path / "tok"))
+    assert load_tokenizer(spark, str(tmp_path / "tok")) == without and without.pad_id == 2
+    with pytest.raises(ValueError, match="no complete tokenizer"):
+        load_tokenizer(spark, str(tmp_path / "none"))
+    assert read_manifest(spark, str(tmp_path / "none")) is None
+
+
+def test_a_changed_table_trains_again(spark, tmp_path):
+    trained = []
+
+    def train(df):
+        trained.append(df.count())
+        return train_bpe(word_freq(df, "text"), max_merges=1)
+
+    docs = spark.createDataFrame([("abab",), ("cdcdcd",), ("abab",)], "text string")
+    folder = str(tmp_path / "store")
+    first = stored_tokenizer(spark, folder, docs, train)
+    assert stored_tokenizer(spark, folder, docs.repartition(3), train) == first and trained == [3]
+    assert stored_tokenizer(spark, folder, docs.distinct(), train) != first or len(trained) == 2
+    stored_tokenizer(spark, folder, docs, train, "other")
+    assert trained == [3, 2, 3]
+    assert table_digest(docs) != table_digest(docs.limit(2)) and table_digest(docs.limit(0)) == table_digest(docs.limit(0))
+
+
 def test_padding_falls_back_to_end():
     assert BpeTokenizer(("a", "</s>"), (), pad=None).pad_id == 1
     assert BpeTokenizer(("a", "</s>", "<pad>"), ()).pad_id == 2

@@ -15,7 +15,8 @@ from corpusloom.functions.arrays import (
     strip_prompt,
     truncate,
 )
-from corpusloom.operators.positions import hash_cut, repeatable_hash, running_total
+from corpusloom.operators import positions
+from corpusloom.operators.positions import hash_cut, key_at, repeatable_hash, running_total, with_next
 from corpusloom.operators.sequences import (
     context_rows,
     pad_batches,
@@ -87,6 +88,45 @@ def test_hash_cut_with_equal_hashes_and_two_keys(spark):
     assert hash_cut(df, ["a", "b"], 3, 64).values is None
 
 
+def test_key_at_every_rank(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice([None, -(2**62), 2**62, 0, 7, rng.randrange(10**6)]), rng.choice(["", "a", "ab", "zé", "日本", "ab" * 9])) for _ in range(60)]
+    rows = [(a, b, i) for i, (a, b) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "a long, b string, c int").repartition(3)
+    place = lambda v: (v is not None, v.encode() if isinstance(v, str) else v)
+    few = positions.FEW_ROWS
+    try:
+        positions.FEW_ROWS = 1  # so that every step is taken
+        for order in (["a", "b", "c"], ["b", "c"], ["c"]):
+            want = sorted([tuple(dict(zip("abc", r))[c] for c in order) for r in rows], key=lambda r: [place(v) for v in r])
+            for rank in (0, 13, 59):
+                assert key_at(df, order, rank) == want[rank]
+            assert key_at(df, order, 60) is None
+    finally:
+        positions.FEW_ROWS = few
+    assert key_at(df.limit(0), ["a"], 0) is None
+    with pytest.raises(TypeError, match="type double"):
+        key_at(df.withColumn("d", F.lit(1.5)), ["d"], 0)
+
+
+def test_next_rows(spark):
+    rng = random.Random(6)
+    rows = sorted({(rng.randrange(9), rng.randrange(400), str(rng.randrange(5))) for _ in range(300)})
+    rows = list({r[:2]: r for r in rows}.values())
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "a int, b long, v string").repartition(4)
+    size = positions.RANGE_ROWS
+    try:
+        for positions.RANGE_ROWS in (1, 40, 10**6):
+            got = sorted(with_next(df, ["a", "b"]).collect())
+            assert [tuple(r[:3]) for r in got] == rows
+            assert [tuple(r[3:]) for r in got] == [*rows[1:], (None, None, None)]
+            index = {(r["a"], r["b"]): r["row_index"] for r in running_total(df, ["a", "b"]).collect()}
+            assert [index[r[:2]] for r in rows] == list(range(len(rows)))
+    finally:
+        positions.RANGE_ROWS = size
+    assert with_next(df.limit(0), ["a", "b"]).count() == 0
+
+
 @pytest.mark.parametrize("n, train", [(0, 0), (1, 0), (9, 8), (10, 9), (101, 90)])
 def test_ordered_split(spark, n, train):
     parts = {r["k"]: r["split"] for r in ordered_split(keys(spark, n, 3), ["k"]).collect()}

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import math
+import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,13 +11,15 @@ from pyspark.sql import functions as F
 from corpusloom.functions.arrays import argmax, cross_entropy, softmax
 from corpusloom.operators.keywords import top_keywords
 from corpusloom.operators.metrics import (
+    clipped_counts,
     corpus_bleu,
+    evaluate,
     loss_by_split,
     loss_history,
     metrics_report,
     token_accuracy,
 )
-from corpusloom.operators.vectors import causal_mean, last_vector, similar_history
+from corpusloom.operators.vectors import causal_mean, last_vector, similar_history, sliding_history
 
 DIM = 4
 
@@ -56,6 +60,38 @@ def test_similar_history_equals_masked_softmax(sequences, block, scaled):
                 np.testing.assert_allclose(got[s, start + p], expected[p])
 
 
+def test_causal_mean_of_many_blocks_and_wide_vectors(spark):
+    rng = np.random.default_rng(1)
+    data = {f"s{s}": rng.normal(size=(n, 150)) for s, n in enumerate((700, 1, 64, 65))}
+    rows = [(s, p, v.tolist()) for s, m in data.items() for p, v in enumerate(m)]
+    df = spark.createDataFrame(rows, "seq string, pos long, v array<float>").repartition(7)
+    got = {(r["seq"], r["pos"]): r["mean"] for r in causal_mean(df, "seq", "pos", "v", block=64).collect()}
+    assert len(got) == len(rows)
+    for s, m in data.items():
+        expected = np.cumsum(m.astype(np.float32), axis=0, dtype=np.float64) / np.arange(1, len(m) + 1)[:, None]
+        for p in range(len(m)):
+            np.testing.assert_allclose(got[s, p], expected[p], atol=1e-6)
+    assert causal_mean(df.limit(0), "seq", "pos", "v").count() == 0
+
+
+@pytest.mark.parametrize("block, tile", [(4, 4), (4, 5), (3, 256), (1, 2), (50, 4)])
+def test_sliding_history_equals_banded_softmax(spark, block, tile):
+    rng = np.random.default_rng(2)
+    data = {0: rng.normal(size=(33, DIM)), 1: rng.normal(size=(1, DIM)), 5: rng.normal(size=(9, DIM)) * 400}
+    rows = [(s, p, v.tolist()) for s, m in data.items() for p, v in enumerate(m)]
+    df = spark.createDataFrame(rows, "seq int, pos int, v array<double>").withColumn("w", F.transform("v", lambda x: x * 2)).repartition(5)
+    got = {(r["seq"], r["pos"]): r["output"] for r in sliding_history(df, "seq", "pos", "v", "w", "v", DIM, block, tile=tile).collect()}
+    assert len(got) == len(rows)
+    for s, m in data.items():
+        at = np.arange(len(m))
+        scores = m @ (2 * m).T * DIM**-0.5
+        scores[(at[None, :] > at[:, None]) | (at[None, :] <= at[:, None] - block)] = -np.inf
+        weights = np.exp(scores - scores.max(1, keepdims=True))
+        expected = weights / weights.sum(1, keepdims=True) @ m
+        for p in range(len(m)):
+            np.testing.assert_allclose(got[s, p], expected[p])
+
+
 def test_last_vector(sequences):
     data, df = sequences
     got = {r["seq"]: r["last"] for r in last_vector(df, "seq", "pos", "v").collect()}
@@ -104,6 +140,44 @@ def test_bleu_tokenization_and_edges(spark):
     assert bleu(spark, ("a b c d e f", "a b c d e"))["brevity_penalty"] == 1.0
 
 
+def counted_by_hand(predictions, references):
+    matched, total = [0] * 4, [0] * 4
+    for p, r in zip(predictions, references):
+        for n in range(1, 5):
+            have, want = (Counter(zip(*[t[i:] for i in range(n)])) for t in (p, r))
+            matched[n - 1] += sum((have & want).values())
+            total[n - 1] += max(len(p) - n + 1, 0)
+    return [*matched, *total, sum(map(len, references))]
+
+
+def test_counts_equal_counting_row_by_row():
+    rng = random.Random(3)
+    for _ in range(200):
+        rows = rng.randrange(6)
+        sides = [[[rng.choice("abcd") for _ in range(rng.randrange(9))] for _ in range(rows)] for _ in range(2)]
+        assert clipped_counts(*sides) == counted_by_hand(*sides)
+
+
+def test_one_record_of_one_prediction_column(spark):
+    """Ids are spelled as letters; label t+1 is compared with prediction t."""
+    rng = random.Random(8)
+    rows = []
+    for _ in range(30):
+        labels = [-100] * 3 + [rng.randrange(6) for _ in range(rng.randrange(0, 12))]
+        guesses = [x if rng.random() < 0.8 else rng.randrange(6) for x in [*labels[1:], 0]]
+        rows.append((guesses, labels))
+    df = spark.createDataFrame(rows, "p array<int>, l array<int>").repartition(4)
+    spell = lambda ids: F.array_join(F.transform(ids, lambda i: F.get(F.array(*[F.lit(c) for c in "abcdef"]), i)), " ")
+    got = evaluate(df, "p", "l", spell).first()
+    pairs = [[(p, x) for p, x in zip(g, labels[1:]) if x != -100] for g, labels in rows]
+    assert (got["n_right"], got["n_counted"]) == (sum(p == x for row in pairs for p, x in row), sum(map(len, pairs)))
+    assert got["accuracy"] == got["n_right"] / got["n_counted"]
+    texts = spark.createDataFrame([tuple(" ".join("abcdef"[x[i]] for x in row) for i in (0, 1)) for row in pairs], "p string, r string")
+    alone = corpus_bleu(texts, "p", "r").first()
+    assert all(got[name] == alone[name] for name in alone.asDict())
+    assert evaluate(df.limit(0), "p", "l", spell).first()["accuracy"] is None
+
+
 def test_losses(spark):
     df = spark.createDataFrame([("a", 0, 1.0), ("a", 0, 3.0), ("a", 1, 10.0)], "split string, batch int, loss double")
     assert tuple(loss_by_split(df, "split", "batch", "loss").first()) == ("a", 2, 6.0)
