@@ -211,7 +211,7 @@ def test_inclusion_probabilities(spark):
     left = docs[0]["target"] - docs[0]["target"] // sum(sizes) * sum(sizes)
     assert 0 < left < sum(sizes)
     assert abs(sum(r["p"] * r["size"] for r in docs) - left) < 1e-6 * left
-    factor = min(r["p"] / r["size"] for r in docs)
+    factor = max(r["p"] / r["size"] for r in docs)
     assert all(abs(r["p"] - min(1.0, factor * r["size"])) < 1e-9 for r in docs) and max(r["p"] for r in docs) == 1.0
     whole = docs[0]["target"] // sum(sizes)
     draw = lambda i: int(hashlib.md5(f"11:{i}".encode()).hexdigest()[:13], 16) / 2**52
