@@ -23,8 +23,9 @@ from corpusloom.llm.common import quoted, slices
 
 NEW, AGAIN, END = "<|turn|>", "<|again|>", "<|end|>\n"
 #: Control strings of this and other chat templates: their first and other characters.
-_CONTROL = re.compile(r"(<|\[)(\\*)(\||/?s>|/?INST\]|<SYS>|</SYS>|/?im_(?:start|end))")
-_ESCAPED = re.compile(r"(<|\[)\\(\\*)(\||/?s>|/?INST\]|<SYS>|</SYS>|/?im_(?:start|end))")
+_REST = r"\||/?s>|/?INST\]|<SYS>|</SYS>|/?im_(?:start|end)|(?:start|end)_of_turn>|(?:bos|eos|pad|unk|mask|sep|cls)>"
+_CONTROL = re.compile(rf"(<|\[)(\\*)({_REST})")
+_ESCAPED = re.compile(rf"(<|\[)\\(\\*)({_REST})")
 
 
 def escape(text: str) -> str:
@@ -180,13 +181,13 @@ def parse_window(text: str) -> list[tuple[bool, str, str, int]]:
 
 
 def read_back(windows: DataFrame) -> DataFrame:
-    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_windows).
+    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_windows, n_repeated).
 
     Parses the formatted text alone: turns that are not marked as repeated give
     the conversation, the text under the loss mask the targets. Windows stream in
     order and digests are updated on the way.
     """
-    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long"
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long, n_repeated long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key: int | None = None
@@ -195,10 +196,10 @@ def read_back(windows: DataFrame) -> DataFrame:
 
         def finish() -> None:
             if state is not None:
-                done.append((key, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4], state[5]))
+                done.append((key, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4], state[5], state[6]))
 
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_windows"]
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_windows", "n_repeated"]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*done)) if done else [()] * len(names)
@@ -209,8 +210,9 @@ def read_back(windows: DataFrame) -> DataFrame:
             for c, text, loss in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist()):
                 if state is None or c != key:
                     finish()
-                    key, state = c, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
+                    key, state = c, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
                 for again, role, turn, _ in parse_window(text):
+                    state[6] += again
                     if not again:
                         state[0] += 1
                         state[1].update(f"{role}\n{turn}\n".encode())

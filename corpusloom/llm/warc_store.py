@@ -1,18 +1,20 @@
 """A content-addressed archive of WARC records, kept in two tables.
 
-``payloads`` holds each distinct payload once, under its SHA-256. ``records``
-holds the exact header bytes of every record and the address of its payload. A
-record is rebuilt byte for byte by a join on the address; reading verifies that
-each stored payload still has the digest it is stored under.
+``payloads`` holds each distinct payload once, under its SHA-256, in buckets by
+this address. ``records`` holds the exact header bytes of every record and the
+address of its payload. A record is rebuilt byte for byte by a join on the address,
+and reading parses these bytes and verifies the payload found in them.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import quoted
-from corpusloom.session import materialize
+from corpusloom.session import materialize, shared_folder
 
 #: Record layout.
 VERSION = "WARC/1.1"
@@ -96,21 +98,29 @@ def write_archive(
     )
     records = placed.select("rid", "sha256", header.cast("binary").alias("header"), F.lit(HTTP_HEAD).cast("binary").alias("block_head"))
     records = materialize(records, "warc-records")
-    # One row of each payload: the row of the largest id, found by id and address.
-    # Rows that repeat both are dropped on the join's own keys, so payloads move once.
-    key = lambda value: F.coalesce(value.cast("string"), F.lit("null")).alias("_key")
-    chosen = tops.select(key(F.when(F.col("top.has"), F.col("top.id"))), "sha256")
-    content = rows.select(key(F.col("_id")), F.sha2("payload", 256).alias("sha256"), "payload")
-    payloads = content.join(chosen, ["_key", "sha256"]).dropDuplicates(["_key", "sha256"])
-    payloads = materialize(payloads.select("sha256", "payload"), "warc-payloads")
-    return payloads, records
+    content = rows.select(F.sha2("payload", 256).alias("sha256"), "payload")
+    return by_address(content, "warc-payloads"), records
+
+
+def by_address(content: DataFrame, name: str) -> DataFrame:
+    """(sha256, payload), each address once, stored in buckets by address.
+
+    Repeats are dropped inside each task first, so a frequent payload moves at most
+    once a task; then payloads move once, to the bucket of their address. Joins on
+    the address read the buckets as they are, and only the other side moves.
+    """
+    spark = content.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    content.dropDuplicates(["sha256"]).write.bucketBy(buckets, "sha256").option("path", f"{shared_folder(spark)}/{table}").saveAsTable(table)
+    return spark.table(table)
 
 
 def rebuild(payloads: DataFrame, records: DataFrame) -> DataFrame:
-    """(rid, record): the original bytes of every record, by a join on the address."""
+    """(rid, sha256, record): the original bytes of every record, by a join on the address."""
     joined = records.withColumn("_first", _field(F.col("header").cast("string"), "WARC-Type") == "response").join(payloads, "sha256", "left")
     body = F.when(F.col("_first"), F.col("payload")).otherwise(F.lit(b""))
-    return joined.select("rid", F.concat("header", "block_head", body, F.lit(b"\r\n\r\n")).alias("record"))
+    return joined.select("rid", "sha256", F.concat("header", "block_head", body, F.lit(b"\r\n\r\n")).alias("record"))
 
 
 def _field(header: Column, name: str) -> Column:
@@ -118,25 +128,53 @@ def _field(header: Column, name: str) -> Column:
     return F.when(value != "", value)
 
 
-def read_archive(payloads: DataFrame, records: DataFrame) -> DataFrame:
-    """(page_id, record_type, payload_digest, payload_bytes, refers_to, url, verified) of each record.
+def parse_records(records: DataFrame) -> DataFrame:
+    """(rid, sha256, header, bytes, sha1, sound) of whole records (rid, sha256, record).
 
-    Type, page and target are read from the header bytes. Digest and length are
-    of the stored payload, for revisits of the one they refer to; ``verified``
-    tells whether it matches both its address and the digest in the header. The
-    digests are computed once per payload, before the join.
+    The header ends at the first empty line, the block has Content-Length bytes and
+    is followed by two line ends, and the payload begins after the HTTP header in
+    the block. ``sound``: the record has this form. A record that
+    was lost (null) is not sound.
     """
-    facts = payloads.select(
-        "sha256", base32_sha1(F.col("payload")).alias("sha1"), F.octet_length("payload").cast("long").alias("bytes"),
-        (F.sha2("payload", 256) == F.col("sha256")).alias("sound"),
-    )
-    h = records.select("sha256", F.col("header").cast("string").alias("h"))
-    parsed = h.select(
-        "sha256", _field(F.col("h"), "WARC-Page-ID").cast("long").alias("page_id"), _field(F.col("h"), "WARC-Type").alias("record_type"),
-        _field(F.col("h"), "WARC-Refers-To-Page-ID").cast("long").alias("refers_to"), _field(F.col("h"), "WARC-Target-URI").alias("url"),
-        _field(F.col("h"), "WARC-Payload-Digest").alias("digest"),
+    # One character a byte, so that places in the text are places in the record.
+    text = records.select("rid", "sha256", F.decode("record", "ISO-8859-1").alias("t"))
+    text = text.withColumn("at", F.expr(r"locate('\r\n\r\n', t)"))
+    text = text.withColumn("header", F.decode(F.encode(F.expr("substring(t, 1, at + 1)"), "ISO-8859-1"), "UTF-8"))
+    text = text.withColumn("size", F.expr("try_cast(" + "regexp_extract(header, 'Content-Length: ([0-9]+)', 1)" + " as int)"))
+    text = text.withColumn("block", F.expr("substring(t, at + 4, size)")).withColumn("tail", F.expr("substring(t, at + 4 + size)"))
+    text = text.withColumn("body", F.expr(r"locate('\r\n\r\n', block)"))
+    payload = F.encode(F.expr("substring(block, body + 4)"), "ISO-8859-1")
+    sound = (F.col("at") > 0) & (F.length("block") == F.col("size")) & (F.col("tail") == "\r\n\r\n") & (F.col("body") > 0)
+    return text.select(
+        "rid", "sha256", "header", F.octet_length(payload).cast("long").alias("bytes"), base32_sha1(payload).alias("sha1"),
+        F.coalesce(sound, F.lit(False)).alias("sound"), F.sha2(payload, 256).alias("found"),
     )
-    return parsed.join(facts, "sha256", "left").select(
-        "page_id", "record_type", F.col("sha1").alias("payload_digest"), F.col("bytes").alias("payload_bytes"), "refers_to", "url",
-        F.coalesce(F.col("sound") & (F.concat(F.lit("sha1:"), F.col("sha1")) == F.col("digest")), F.lit(False)).alias("verified"),
+
+
+def read_archive(payloads: DataFrame, records: DataFrame, strict: bool = False) -> DataFrame:
+    """(page_id, record_type, payload_digest, payload_bytes, refers_to, url, verified) of each record.
+
+    Every record is rebuilt and read from its bytes alone. Digest and length are
+    those of the payload found in a response, for a revisit those of the response
+    that holds its address. ``verified`` tells whether that payload has the
+    digest in the record's header and the address it is stored under; with
+    ``strict`` a record that is not verified fails the job.
+    """
+    parsed = materialize(parse_records(rebuild(payloads, records)), "warc-parsed")
+    h = F.col("header")
+    parsed = parsed.select(
+        "sha256", _field(h, "WARC-Page-ID").cast("long").alias("page_id"), _field(h, "WARC-Type").alias("record_type"),
+        _field(h, "WARC-Refers-To-Page-ID").cast("long").alias("refers_to"), _field(h, "WARC-Target-URI").alias("url"),
+        _field(h, "WARC-Payload-Digest").alias("digest"), "bytes", "sha1", "sound", (F.col("found") == F.col("sha256")).alias("stored"),
     )
+    responses = parsed.where("record_type = 'response'")
+    facts = responses.groupBy("sha256").agg(
+        F.max("bytes").alias("_bytes"), F.max("sha1").alias("_sha1"), F.min(F.col("sound") & F.col("stored")).alias("_sound")
+    )
+    joined = parsed.join(facts, "sha256", "left")
+    verified = F.coalesce(F.col("_sound") & F.col("sound") & (F.concat(F.lit("sha1:"), F.col("_sha1")) == F.col("digest")), F.lit(False))
+    failed = F.raise_error(F.concat(F.lit("unsound record of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null")))).cast("long")
+    size = F.when(verified, F.col("_bytes")).otherwise(failed) if strict else F.col("_bytes")
+    return joined.select(
+        "page_id", "record_type", F.col("_sha1").alias("payload_digest"), size.alias("payload_bytes"), "refers_to", "url", verified.alias("verified")
+    )

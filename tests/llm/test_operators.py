@@ -73,6 +73,26 @@ def test_chat_round_trip(spark):
     assert chat_windows.read_back(chat_windows.format_windows(df.limit(0))).count() == 0
 
 
+def test_registered_chat_query(spark):
+    turns = [tuple(r) for r in spark.read.parquet(f"{ROOT}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    turns += [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+    got = {r["conv_id"]: r for r in QUERIES["op1_chat_windows"][0](spark, ROOT).collect()}
+    assert set(got) == {t[0] for t in turns}
+    for conv, r in got.items():
+        mine = sorted(t for t in turns if t[0] == conv)
+        whole = "".join(f"{role}\n{text or ''}\n" for _, _, role, text in mine)
+        targets = "".join(text or "" for _, _, role, text in mine if role == "assistant")
+        assert (r["n_turns"], r["loss_chars"]) == (len(mine), len(targets))
+        assert r["turns_sha256"] == hashlib.sha256(whole.encode()).hexdigest()
+        assert r["loss_sha256"] == hashlib.sha256(targets.encode()).hexdigest()
+    assert sum(r["n_windows"] > 1 for r in got.values()) > 3 and sum(r["n_repeated"] for r in got.values()) > 3
+
+
+def test_control_strings_of_turn_templates():
+    for mark in ("<start_of_turn>", "<end_of_turn>", "<bos>", "<eos>", "<pad>", "<unk>", "<|im_start|>", "</s>", "[INST]"):
+        assert mark not in chat_windows.escape(f"a{mark}b") and chat_windows.unescape(chat_windows.escape(f"a{mark}b")) == f"a{mark}b"
+
+
 # ---- WARC
 
 
@@ -88,6 +108,15 @@ def test_archive_round_trip(spark):
         head, _, rest = bytes(r["record"]).partition(b"\r\n\r\n")
         length = int(re.search(rb"Content-Length: (\d+)", head).group(1))
         assert rest[length:] == b"\r\n\r\n" and head.startswith(b"WARC/1.1\r\n")
+    # A payload that was changed, or lost, is found out.
+    spoiled = payloads.withColumn("payload", F.when(F.octet_length("payload") == 9, F.lit(b"<p>x</p>!")).otherwise(F.col("payload")))
+    for broken in (spoiled, payloads.where(F.octet_length("payload") != 9)):
+        read = warc_store.read_archive(broken, records).collect()
+        assert {r["page_id"] for r in read if not r["verified"]} == {1, 2, None}
+        with pytest.raises(Exception, match="unsound record of page"):
+            warc_store.read_archive(broken, records, strict=True).collect()
+    cut = records.withColumn("header", F.encode(F.regexp_replace(F.decode("header", "UTF-8"), "Content-Length: .*", "Content-Length: 7\r"), "UTF-8"))
+    assert not any(r["verified"] for r in warc_store.read_archive(payloads, cut).collect())
     empty = warc_store.write_archive(pages.limit(0))
     assert warc_store.read_archive(*empty).count() == 0
 
@@ -95,30 +124,71 @@ def test_archive_round_trip(spark):
 # ---- nearest neighbours
 
 
+def exact_neighbours(ids, x, k=5):
+    """Best k of each query (id divisible by 50) among all other rows, in plain double sums."""
+    norms = [math.sqrt(sum(c * c for c in v)) for v in x]
+    out = {}
+    for i in range(len(ids)):
+        if ids[i] % 50 == 0:
+            s = sorted((-round(sum(a * b for a, b in zip(x[i], x[j])) / norms[i] / norms[j], 12), ids[j]) for j in range(len(ids)) if j != i)
+            out.setdefault(ids[i], []).append([key for _, key in s[:k]])
+    return out
+
+
 def test_recall_and_edges(spark):
     rng = np.random.default_rng(1)
-    x = rng.standard_normal((3000, 24)).round(3)
-    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(9000, None), (9050, [0.0] * 24), (9100, [float("nan")] * 24), (None, x[0].tolist()), (9150, x[50].tolist())]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit(1))
-    how = projected_nn.Search(block=1000, queries=20)
-    got = projected_nn.nearest(df, "_id % 50 = 0", how=how).collect()
-    x = np.vstack([x, x[50]])
-    ids = np.array([*range(3000), 9150])
-    u = x / np.linalg.norm(x, axis=1)[:, None]
-    right = total = 0
-    for q in np.flatnonzero(ids % 50 == 0):
-        s = u @ u[q]
-        s[q] = -2
-        best = ids[np.lexsort((ids, -s.round(12)))[:5]]
-        mine = sorted((r for r in got if r["query_id"] == ids[q]), key=lambda r: r["rank"])
-        assert [r["rank"] for r in mine] == [1, 2, 3, 4, 5]
-        right += len({r["vec_id"] for r in mine} & set(best.tolist()))
-        total += 5
-    assert right / total >= 0.9
-    assert {r["query_id"] for r in got} == {int(i) for i in ids if i % 50 == 0}
+    x = rng.standard_normal((1500, 24)).round(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    bad = [(9000, None), (9050, [0.0] * 24), (9100, [float("nan")] * 24), (9200, [float("-inf")] * 24), (9250, [1.0, None] * 12), (9300, []), (None, x[0].tolist())]
+    short = [(9400, [1.0, 2.0]), (9450, [2.0, 4.0]), (9451, [2.0, -1.0])]
+    df = spark.createDataFrame(rows + bad + short, "vec_id long, embedding array<double>").withColumns({"rank": F.lit(1), "rid": F.lit("x"), "p": F.lit(0)})
+    how = projected_nn.Search(block=400, queries=20, sample=300)
+    got = {}
+    for r in sorted(projected_nn.nearest(df, "_id % 50 = 0", how=how).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    want = exact_neighbours(list(range(1500)), x.tolist())
+    assert set(got) == {*want, 9400, 9450}
+    assert all([rank for rank, _, _ in got[q]] == [1, 2, 3, 4, 5] for q in want)
+    assert sum(len({i for _, i, _ in got[q]} & set(want[q][0])) for q in want) / (5 * len(want)) >= 0.9
+    assert [i for _, i, _ in got[9400]] == [9450, 9451] and abs(got[9400][0][2] - 1) < 1e-15
+    for q in list(want)[:5]:
+        for _, i, score in got[q]:
+            assert abs(score - float(x[q] @ x[i]) / (np.linalg.norm(x[q]) * np.linalg.norm(x[i]))) < 1e-14
     assert projected_nn.nearest(df.limit(0), "_id % 50 = 0").count() == 0
 
 
+def test_ties_repeated_ids_and_extreme_vectors(spark):
+    """Equal vectors tie exactly wherever they lie; the smaller id comes first."""
+    rng = np.random.default_rng(7)
+    kinds = rng.standard_normal((6, 13))
+    rows = [(i, (kinds[i % 6] * 10.0 ** rng.choice([-200, 0, 200])).tolist()) for i in rng.permutation(600).tolist()]
+    plain = [(i, kinds[i % 6].tolist()) for i in range(600, 900)] + [(50, kinds[0].tolist()), (50, kinds[0].tolist())]
+    df = spark.createDataFrame(rows + plain, "vec_id long, embedding array<double>").repartition(6)
+    got = {}
+    for r in projected_nn.nearest(df, "_id % 50 = 0", how=projected_nn.Search(block=100, queries=3)).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q, found in got.items():
+        assert all(abs(score - 1) < 1e-12 for _, _, score in found)
+        if q >= 600:
+            same = sorted([i for i in range(600, 900) if i % 6 == q % 6 and i != q])
+            exact = [i for _, i, s in sorted(found) if s == max(x for _, _, x in found)]
+            assert exact == sorted(exact) and len(found) == 5 and set(exact) <= {*same, *range(600), 50}
+    assert len(got[50]) == 15  # three rows ask, and may find one another
+
+
+def test_share_of_vectors_verified():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((4000, 64))
+    how = projected_nn.Search()
+    found, verified = projected_nn.search_block(np.arange(4000), np.arange(4000), x, np.arange(40), x[:40], np.full(40, 4.0), how)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    scores = u[:40] @ u.T
+    scores[np.arange(40), np.arange(40)] = -2
+    best = np.argsort(-scores, axis=1)[:, :5]
+    right = sum(len({i for q, i, _ in found if q == k} & set(best[k].tolist())) for k in range(40))
+    assert right / 200 >= 0.9 and verified < 0.75 * 40 * 4000
+
+
 # ---- repeated passages
 
 
