@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import IGNORED, context_targets, pad_right
 from corpusloom.operators.positions import Cut, hash_integer, repeatable_hash, running_total, whole_div
+from corpusloom.session import collect_bounded
+
+#: Rows that may be sent to every task.
+BROADCAST_ROWS = 1_000_000
 
 
 def stream_offsets(
@@ -142,9 +146,10 @@ def random_blocks(
     """(sample_id, start, x, y): ``count`` blocks of the stream, drawn with replacement.
 
     Starts are uniform over [low, high - block). Documents are found by an equi
-    join of grid cells that touches keys only; the texts are then read once and
-    joined with the few rows that were hit, so the corpus is not rebuilt as a
-    stream for a handful of blocks. A block may span several documents.
+    join of grid cells that touches keys only; the texts are then read once,
+    where they are, and only those that were hit are encoded. With more than
+    ``BROADCAST_ROWS`` tokens to draw the hits are joined by a shuffle instead.
+    A block may span several documents.
     """
     if high is None:
         high = stream_length(offsets)
@@ -178,6 +183,11 @@ def random_blocks(
             F.least(end, stop).alias("_high"),
         )
     )
+    # A block meets at most one row with tokens per token, so the hits are few for any
+    # corpus, and they go to the rows: the corpus is read where it is.
+    if count * (block + 1) <= BROADCAST_ROWS:
+        rows = collect_bounded(hits, count * (block + 1), "rows that blocks meet")
+        hits = F.broadcast(spark.createDataFrame(rows, hits.schema))
     # Joined before encoding: only rows that were hit are encoded.
     parts = df.join(hits, order_by).select(
         F.col("_sample").alias("sample_id"),

@@ -21,6 +21,7 @@ from corpusloom.plans.common import (
     user_prompts,
 )
 from corpusloom.plans.registry import query
+from corpusloom.session import materialize, spread
 
 SEED = 42
 STEPS = 20
@@ -41,7 +42,7 @@ def stream_pairs(spark, root):
     }
     offsets = stream_offsets(docs, ["doc_id"], F.char_length("text"), ends)
     cut = stream_cut(offsets, ["doc_id"], math.floor(0.9 * stream_length(offsets)))
-    return pair_counts(docs, tokens, offsets, cut)
+    return pair_counts(spread(docs, "doc_id"), tokens, offsets, cut)
 
 
 def next_tokens(spark, root):
@@ -68,7 +69,8 @@ SELECT c.split, sum(c.n)::BIGINT AS n_pairs, (coalesce(sum(c.n) FILTER (p IS NUL
 FROM counts c LEFT JOIN model m ON m.prev = c.prev AND m.next = c.next GROUP BY c.split""",
 )
 def loss(spark, root):
-    counts = stream_pairs(spark, root)
+    # Read by the model and by its loss.
+    counts = materialize(stream_pairs(spark, root), "pair-counts")
     return bigram_loss(counts, bigram_model(counts)).withColumn("loss", F.round("loss", 6))
 
 
