@@ -22,7 +22,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -323,17 +323,15 @@ class Encoder:
 
     @staticmethod
     def _trim(known: dict[str, bytes], fresh: dict[str, bytes]) -> None:
-        """Forget what is long, and everything once it is too much."""
-        if len(known) > KEPT_WORDS:
-            known.clear()
-        else:
-            for key in fresh:
-                if len(key) > KEPT_LENGTH:
-                    del known[key]
-
-    def _new_chunks(self, chunks: set[str]) -> dict[str, bytes]:
+        """Forget what is long, and what is new once there is enough."""
+        full = len(known) > KEPT_WORDS
+        for key in fresh:
+            if full or len(key) > KEPT_LENGTH:
+                del known[key]
+
+    def _new_chunks(self, chunks: list[str]) -> dict[str, bytes]:
         cut = {chunk: self.split.findall(chunk) for chunk in chunks}
-        need = list(set(chain.from_iterable(cut.values())) - self.words.keys())
+        need = list(filterfalse(self.words.__contains__, set(chain.from_iterable(cut.values()))))
         fresh = dict(zip(need, self.tables.paths([w.encode() for w in need])))
         self.words.update(fresh)
         get = self.words.__getitem__
@@ -354,7 +352,7 @@ class Encoder:
                 parts = self.added.split(text)
                 pieces.append([self.cut.findall(p) if i % 2 == 0 else np.int32(self.added_ids[p]).tobytes() for i, p in enumerate(parts)])
         listed = chain.from_iterable(part for row in pieces for part in row if isinstance(part, list))
-        fresh = self._new_chunks(set(listed) - self.chunks.keys())
+        fresh = self._new_chunks(list(filterfalse(self.chunks.__contains__, set(listed))))
         self.chunks.update(fresh)
         get = self.chunks.__getitem__
         out = [b"".join([part if isinstance(part, bytes) else b"".join(map(get, part)) for part in row]) for row in pieces]
