@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.arrays import array_sum, bind
+from corpusloom.functions.arrays import bind
 from corpusloom.operators.positions import repeatable_hash, unit_number
 from corpusloom.session import collect_bounded, materialize
 
@@ -100,42 +103,54 @@ def generate(
 
 
 def successors(model: DataFrame, token: str = "next", probability: str = "p") -> DataFrame:
-    """(prev, _items): one row per current token with its successors, most likely first."""
+    """(prev, _tokens, _ps): one row per current token with its successors, most likely first."""
     items = F.array_sort(F.collect_list(F.struct((-F.col(probability)).alias("minus"), F.col(token).alias("token"))))
-    return model.groupBy("prev").agg(items.alias("_items"))
+    packed = model.groupBy("prev").agg(items.alias("_items"))
+    return packed.select("prev", F.col("_items.token").alias("_tokens"), F.transform("_items", lambda x: -x["minus"]).alias("_ps"))
 
 
-def draw_token(items: Column, u: Column, temperature: Column, top_p: Column) -> Column:
-    """One token drawn from the truncated distribution of one row, null without successors.
+#: Cells of the padded table that rows are drawn in at a time.
+DRAW_CELLS = 1 << 20
 
-    The same distribution as that of ``top_p_filter``, made for this row only:
-    probabilities to the power 1/temperature, the top ones up to ``top_p``, and
-    the first whose running share passes ``u``.
-    """
-    weights = F.transform(items, lambda x: F.pow(-x["minus"], 1 / temperature))
-
-    def pick(q: Column) -> Column:
-        zero = F.struct(F.lit(0.0).alias("before"), F.lit(0.0).alias("kept"), F.lit(0).alias("n"))
-
-        def measure(s: Column, x: Column) -> Column:
-            inside = (s["before"] < top_p) | (s["n"] == 0)
-            return F.struct(
-                (s["before"] + x).alias("before"), F.when(inside, s["kept"] + x).otherwise(s["kept"]).alias("kept"),
-                F.when(inside, s["n"] + 1).otherwise(s["n"]).alias("n"),
-            )
 
-        def choose(state: Column) -> Column:
-            start = F.struct(F.lit(0.0).alias("cum"), F.lit(0).alias("at"))
-            step = lambda s, x: F.struct(
-                (s["cum"] + x / state["kept"]).alias("cum"), F.when(s["cum"] + x / state["kept"] <= u, s["at"] + 1).otherwise(s["at"]).alias("at")
-            )
-            place = F.aggregate(F.slice(q, F.lit(1), state["n"]), start, step)["at"]
-            return F.get(items, F.least(place, state["n"] - 1))["token"]
+def drawn_places(ps: np.ndarray, sizes: np.ndarray, u: np.ndarray, temperature: np.ndarray, top_p: np.ndarray) -> np.ndarray:
+    """The place that each row draws, from its probabilities in falling order; rows are not empty.
 
-        return bind(F.aggregate(q, zero, measure), choose)
-
-    shares = bind(weights, lambda w: bind(array_sum(w), lambda total: F.transform(w, lambda x: x / total)))
-    return F.when(F.size(items) > 0, bind(shares, pick))
+    The distribution of ``top_p_filter``, made for these rows only: probabilities
+    to the power 1/temperature, the top ones up to ``top_p``, and the first whose
+    running share passes ``u``. Sums run over one row, so equal rows draw alike.
+    """
+    longest = int(sizes.max())
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros(len(sizes), dtype=np.int64)
+    step = max(1, DRAW_CELLS // longest)
+    for first in range(0, len(sizes), step):
+        part = slice(first, first + step)
+        place = np.arange(longest)[None, :]
+        held = place < sizes[part, None]
+        p = np.where(held, ps[np.minimum(starts[part, None] + place, len(ps) - 1)], 0.0)
+        weights = np.where(held, p ** (1 / temperature[part, None]), 0.0)
+        shares = weights / np.cumsum(weights, axis=1)[:, -1:]
+        before = np.cumsum(shares, axis=1)
+        before = np.hstack([np.zeros((len(before), 1)), before[:, :-1]])
+        inside = held & ((before < top_p[part, None]) | (place == 0))
+        kept = np.where(inside, shares, 0.0)
+        running = np.cumsum(kept / np.cumsum(kept, axis=1)[:, -1:], axis=1)
+        passed = (inside & (running <= u[part, None])).sum(axis=1)
+        out[part] = np.minimum(passed, inside.sum(axis=1) - 1)
+    return out
+
+
+def draw_token(tokens: pa.Array, ps: pa.Array, u: pa.Array, temperature: pa.Array, top_p: pa.Array) -> pa.Array:
+    """One token drawn for each row, null without successors."""
+    sizes = pc.fill_null(pc.list_value_length(ps), 0).to_numpy().astype(np.int64)
+    some = np.flatnonzero(sizes > 0)
+    out = np.full(len(sizes), -1, dtype=np.int64)
+    if len(some):
+        pick = [a.to_numpy(zero_copy_only=False)[some] for a in (u, temperature, top_p)]
+        places = drawn_places(ps.flatten().to_numpy(zero_copy_only=False), sizes[some], *pick)
+        out[some] = np.cumsum(sizes)[some] - sizes[some] + places
+    return tokens.flatten().take(pa.array(out, mask=out < 0))
 
 
 def generate_from(
@@ -165,12 +180,12 @@ def generate_from(
         }
     )
     carried = state.columns
+    draw = F.arrow_udf(draw_token, "string")
     for step in range(steps):
         u = unit_number(repeatable_hash(seed, prompt_id, F.lit(step)))
-        token = bind(u, lambda x: draw_token(F.col("_items"), x, F.col("_temperature"), F.col("_top_p")))
-        drawn = state.join(table, F.col("_current") == F.col("_prev"), "left").select(
-            *[c for c in carried if c != "_current"], F.when(F.lit(step) < F.col("_limit"), token).alias("_current")
-        )
+        met = state.join(table, F.col("_current") == F.col("_prev"), "left")
+        token = draw(F.col("_tokens"), F.col("_ps"), u, F.col("_temperature"), F.col("_top_p"))
+        drawn = met.select(*[c for c in carried if c != "_current"], F.when(F.lit(step) < F.col("_limit"), token).alias("_current"))
         added = F.concat("generated", F.array_compact(F.array("_current")))
         state = drawn.select(*[added.alias(c) if c == "generated" else c for c in carried])
         if (step + 1) % durable_every == 0 and step + 1 < steps:

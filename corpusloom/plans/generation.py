@@ -8,7 +8,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import chars, keep_known_chars
-from corpusloom.operators.generation import generate_from, route_to_adapters, score_prompts, top_p_filter
+from corpusloom.operators.generation import generate, generate_from, pack_model, route_to_adapters, score_prompts, top_p_filter
 from corpusloom.operators.ngram import bigram_loss, bigram_model, pair_counts
 from corpusloom.operators.sequences import stream_cut, stream_length, stream_offsets
 from corpusloom.plans.common import (
@@ -99,7 +99,8 @@ def truncated(spark, root):
 SQL_PROMPTS = """prompts AS (SELECT conv_id || ':' || turn AS prompt_id, conv_id, text AS prompt
   FROM conversations WHERE role = 'user')"""
 # The last character of a prompt that the vocabulary has.
-SQL_LAST = """list_filter(string_split(prompt, ''), lambda z: list_contains((SELECT list(c) FROM vocab), z))[-1]"""
+SQL_KNOWN = "known AS MATERIALIZED (SELECT list(c) AS cs FROM vocab)"
+SQL_LAST = "list_filter(string_split(prompt, ''), lambda z: list_contains(cs, z))[-1]"
 
 
 def started(spark, root):
@@ -126,12 +127,13 @@ drawn AS (SELECT prompt_id, arg_max(generated, step) AS generated FROM g GROUP B
 @query(
     "generate_prompts",
     f"""WITH RECURSIVE {SQL_BIGRAMS}, {_sql_kept('model', 'prev', str(TEMPERATURE), str(TOP_P))}, {SQL_PROMPTS},
-started AS (SELECT prompt_id, {SQL_LAST} AS current FROM prompts),
+{SQL_KNOWN}, started AS (SELECT prompt_id, {SQL_LAST} AS current FROM prompts, known),
 {_sql_generated('', '', str(STEPS))}
 SELECT prompt_id, generated FROM drawn""",
 )
 def generated(spark, root):
-    drawn = generate_from(started(spark, root), next_tokens(spark, root), TEMPERATURE, TOP_P, STEPS, STEPS, SEED)
+    kept = top_p_filter(next_tokens(spark, root), ["prev"], temperature=TEMPERATURE, top_p=TOP_P)
+    drawn = generate(started(spark, root), pack_model(kept, ["prev"]), STEPS, STEPS, SEED)
     return drawn.select("prompt_id", F.array_join("generated", "").alias("generated"))
 
 
@@ -143,7 +145,7 @@ routed AS (SELECT prompt_id, prompt, adapter, temperature, top_p, max_tokens FRO
   JOIN adapters ON adapter = CASE WHEN conv_id % 2 = 0 THEN 'lora1' ELSE 'lora2' END),
 models AS (SELECT m.*, adapter, temperature, top_p FROM model m, adapters),
 {_sql_kept('models', 'adapter, prev', 'temperature', 'top_p')},
-started AS (SELECT prompt_id, adapter, max_tokens, {SQL_LAST} AS current FROM routed),
+{SQL_KNOWN}, started AS (SELECT prompt_id, adapter, max_tokens, {SQL_LAST} AS current FROM routed, known),
 {_sql_generated('adapter, max_tokens, ', ' AND packed.adapter = g.adapter', 'g.max_tokens', 'adapter, ')}
 SELECT prompt_id, adapter, temperature::DOUBLE AS temperature, top_p::DOUBLE AS top_p, max_tokens, generated
 FROM routed JOIN drawn USING (prompt_id)""",
