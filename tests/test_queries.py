@@ -9,10 +9,10 @@ from corpusloom.plans.registry import load_all
 from tests.compare import connect, difference
 
 ROOT = "/root/testdata/sf0.001"
-# Queries without a SQL form have tests of their own.
-SQL = entry_points.oracle_sql()
-QUERIES = {name: fn for name, fn in entry_points.queries().items() if name in SQL}
+# Queries without a SQL form, and those of the optional part, have tests of their own.
 LIBRARY = load_all()
+SQL = entry_points.oracle_sql()
+QUERIES = {name: fn for name, fn in entry_points.queries().items() if name in SQL and name in LIBRARY}
 
 
 @pytest.fixture(scope="module")
