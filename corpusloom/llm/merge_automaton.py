@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, filterfalse
 
 import numpy as np
@@ -373,14 +373,30 @@ def compiled(tokenizer: dict) -> dict:
     }
 
 
-def _with_column(part: pa.RecordBatch, values: pa.Array, name: str) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*part.columns, values], [*part.schema.names, name])
+def _with_column(df: DataFrame, column: str, out: str, kind: str, values: Callable[[Iterator[list]], Iterator[pa.Array]]) -> DataFrame:
+    """``df`` with a new column, made from slices of the values of another.
 
+    Columns travel under plain names, so that theirs may hold any character.
+    """
+    if out in df.columns:
+        raise ValueError(f"the table already has a column {out}")
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.RecordBatch] = []
+
+        def read() -> Iterator[list]:
+            for part in slices(batches):
+                parts.append(part)
+                yield part.column(at).to_pylist()
 
-def _schema(df: DataFrame, name: str, kind: str) -> str:
-    if name in df.columns:
-        raise ValueError(f"the table already has a column {name}")
-    return ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema] + [f"`{name}` {kind}"])
+        for made in values(read()):
+            part = parts.pop()
+            yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, "made"])
+
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in plain.schema] + [f"made {kind}"])
+    return plain.mapInArrow(run, schema).toDF(*df.columns, out)
 
 
 class ByteTokenizer:
@@ -394,35 +410,35 @@ class ByteTokenizer:
         self.shared = spark.sparkContext.broadcast(compiled(read_tokenizer(path)))
 
     def encode(self, df: DataFrame, text_col: str = "text", out: str = "ids") -> DataFrame:
-        """``df`` with the ids of the whole text as array<int>; null text gives no ids.
+        """``df`` with the ids of the whole text as array<int>; null and empty texts give no ids.
 
+        Rows are encoded one by one, so rows that repeat stay, and an empty table
+        gives an empty one. Very long texts are encoded whole.
         All rows and columns stay; a column named ``out`` in ``df`` is an error.
         """
         shared = self.shared
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(slices_of_texts: Iterator[list]) -> Iterator[pa.Array]:
             encoder = Encoder(shared.value)
-            for part in slices(batches):
-                texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+            for texts in slices_of_texts:
                 packed = encoder.encode(texts)
                 ends = np.zeros(len(packed) + 1, dtype=np.int32)
                 np.cumsum([len(p) // 4 for p in packed], out=ends[1:])
                 ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
-                yield _with_column(part, pa.ListArray.from_arrays(pa.array(ends), ids), out)
+                yield pa.ListArray.from_arrays(pa.array(ends), ids)
 
-        return df.mapInArrow(run, _schema(df, out, "array<int>"))
+        return _with_column(df, text_col, out, "array<int>", run)
 
     def decode(self, df: DataFrame, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
         """``df`` with the text of the ids; null ids give the empty text."""
         shared = self.shared
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(slices_of_ids: Iterator[list]) -> Iterator[pa.Array]:
             encoder = Encoder(shared.value)
-            for part in slices(batches):
-                ids = part.column(part.schema.get_field_index(ids_col)).to_pylist()
-                yield _with_column(part, pa.array([encoder.decode(i or []) for i in ids], pa.string()), out)
+            for rows in slices_of_ids:
+                yield pa.array([encoder.decode(ids or []) for ids in rows], pa.string())
 
-        return df.mapInArrow(run, _schema(df, out, "string"))
+        return _with_column(df, ids_col, out, "string", run)
 
 
 def ids_digest(ids_col: str = "ids"):

@@ -373,6 +373,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     connect, ``n_links`` the number of different texts that this text is linked
     to, ``kept`` marks one row of each class, the one with the largest id. Copies
     share the links of their text. A text without words, null included, is alone.
-    A null id comes before all others; rows that repeat an id are separate rows.
+    A null id comes before all others; rows that repeat an id are separate rows. An
+    empty table gives an empty one; other columns are not read. A very long text is
+    signed and verified whole.
     """
     return near_groups(df, id_col, text_col, banding, count_links=True)

@@ -91,7 +91,9 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans: merged (start, end) in code points, end exclusive, of the sentences
     to remove, in order. Null ids come first in the order of places; rows that
     repeat an id are told apart by their row number. A text with fewer than
-    ``runs.sentences`` sentences, null and empty included, has no run and stays.
+    ``runs.sentences`` sentences, null and empty included, has no run and stays. An
+    empty table gives an empty one; other columns are not read. A very long text
+    is cut and hashed whole, inside one task.
     """
     docs = keyed(df, id_col, text_col).mapInArrow(
         _runs(runs),
@@ -145,19 +147,18 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = repeated_spans(df, id_col, text_col, runs).where("removed_chars > 0")
     # Rows that repeat an id and a text differ only in which of them is first.
     spans = spans.groupBy(F.col("_id").alias("_kid"), F.col("_th").alias("_kth")).agg(F.max_by("spans", "removed_chars").alias("_spans"))
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    key = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_kid")) & (F.xxhash64(text) == F.col("_kth"))
-    columns = [F.col(f"`{c}`") for c in df.columns if c != text_col]
+    # Columns travel under plain names, so that theirs may hold any character.
+    names = [f"c{i}" for i in range(len(df.columns))]
+    at = df.columns.index(text_col)
+    plain, key = df.toDF(*names), F.col(names[df.columns.index(id_col)]).cast("long")
+    text = F.coalesce(F.col(names[at]), F.lit(""))
+    joined = plain.join(spans, key.eqNullSafe(F.col("_kid")) & (F.xxhash64(text) == F.col("_kth")), "left").select(*names, "_spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            at = part.schema.get_field_index(text_col)
             pairs = zip(part.column(at).to_pylist(), part.column(part.num_columns - 1).to_pylist())
             texts = [without_spans(t, [(s["start"], s["end"]) for s in x]) if x else t for t, x in pairs]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(part.columns[:-1])], part.schema.names[:-1]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(part.columns[:-1])], names)
 
-    joined = df.join(spans, key, "left").select(*columns, F.col(f"`{text_col}`"), "_spans")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-1])
-    return joined.mapInArrow(cut, schema).select(*[F.col(f"`{c}`") for c in df.columns])
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
+    return joined.mapInArrow(cut, schema).toDF(*df.columns)

@@ -260,7 +260,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     docs: (doc_id, text); labels: (doc_id, toxic). At most about
     ``settings.sample_rows`` documents of each label reach the driver, chosen by
     hash of the id; label counts are taken over all labelled rows. Null ids and
-    labels are not used, of repeated labels the larger holds.
+    labels are not used, of repeated labels the larger holds; rows that repeat an id
+    and a text are one sample row. Without labelled rows every score is 0.
     """
     marked = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     marked = marked.where(~held_out())
@@ -305,7 +306,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     score: 0 to 1. spans: offending (start, end) in code points, end exclusive.
     Null and empty texts have no tokens and get the score of a text without any
-    toxic token. Only the text is an input of the score.
+    toxic token. Only the text is an input of the score, so rows that repeat a text
+    get the same score, and rows that repeat an id are separate rows. A very long
+    text is scored whole. An empty table gives an empty one; other columns are not
+    read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
