@@ -4,6 +4,12 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that the one before
 kept. All but the last return the columns of ``documents``. ``run`` writes every
 stage to the shared folder and reads it again, so a lost executor costs at most
 the stage in hand.
+
+Every stage takes tables with nulls in any column, empty and very long texts, and
+further columns of any name, which stay. A null text counts as empty, a null id as an
+id of its own that comes before all others. Rows that repeat an id and a text share
+a decision; of such rows the stages that drop copies keep one, by a hash of the
+row. An empty table gives an empty one.
 """
 
 from __future__ import annotations
