@@ -36,7 +36,7 @@ from corpusloom.operators.vocabulary import UNICODE_POINTS
 from corpusloom.session import collect_bounded, materialize
 
 LOOKED_AT = 4096
-FETCHED_WORDS = 50_000
+FETCHED_WORDS = 200_000
 NEIGHBOURS_OF = 128
 
 Pair = tuple[int, int]
