@@ -15,10 +15,11 @@ from collections.abc import Iterator
 from math import log10
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import keyed, quoted, slices
+from corpusloom.session import collect_bounded
 
 # The patterns of the three basic kinds, in their order.
 ASSIGN = re.compile(
@@ -50,6 +51,7 @@ WORDS = (
 )
 #: Words of the corpus that are known besides, by documents that hold them.
 CORPUS_WORDS = 20_000
+WORD_GROUPS = 16
 SHORTEST, LONGEST = 3, 20
 
 # Rows of a keyboard, and how far each is moved to the right, in quarters of a key.
@@ -137,12 +139,16 @@ def guess_cost(value: str, ranks: dict[str, int] = _COMMON) -> float:
 def corpus_words(df: DataFrame, text_col: str = "text", most: int = CORPUS_WORDS) -> list[str]:
     """The ``most`` words of 3 to 20 letters a-z that most rows hold, A-Z in lower case.
 
-    Counted over all rows and whole texts; ties go by the word. What reaches the
-    driver, and the executors after it, is bounded by ``most``.
+    Counted over all rows and whole texts; ties go by the word. The best of each of
+    ``WORD_GROUPS`` groups of words are found first, so what reaches the driver is
+    bounded by ``most`` whatever the number of partitions.
     """
     letters = F.regexp_extract_all(F.lower(F.coalesce(quoted(text_col), F.lit(""))), F.lit(rf"(?<![a-z])[a-z]{{{SHORTEST},{LONGEST}}}(?![a-z])"), F.lit(0))
     counts = df.select(F.explode(F.array_distinct(letters)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+    best = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(WORD_GROUPS))).orderBy(F.desc("n"), "word")
+    few = counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
+    rows = collect_bounded(few.select("word", "n"), WORD_GROUPS * most, "words of the groups")
+    return [r["word"] for r in sorted(rows, key=lambda r: (-r["n"], r["word"]))[:most]]
 
 
 def find_secrets(text: str, least_cost: float, ranks: dict[str, int] = _COMMON) -> list[tuple[int, str, int, float]]:
