@@ -82,6 +82,19 @@ def test_training_in_rounds_equals_one_by_one(spark, seed, letters, bounds, merg
     assert (tokenizer.tokens, tokenizer.merges) == one_by_one(counts, bpe.SPECIAL_TOKENS, merges)
 
 
+def test_pieces_reach_the_driver_not_words(spark, monkeypatch):
+    """576 words hold one pair, more than may be fetched: it is one piece, and no round needs bounds."""
+    letters = "cdefghijklmnopqrstuvwxyz"
+    counts = {"ab" + x + y: 1 + (x < y) for x in letters for y in letters} | {"aaaa": 600, "aaaaa": 1}
+    table = spark.createDataFrame(list(counts.items()), "word string, n long")
+    rows, plain = [], bpe_training.merges_in_words
+    monkeypatch.setattr(bpe_training, "merges_in_words", lambda pieces, *rest: rows.append(len(pieces)) or plain(pieces, *rest))
+    monkeypatch.setattr(bpe_training, "merges_by_bounds", None)
+    tokenizer = train_bpe(table, max_merges=6, looked_at=2, fetched_words=30)
+    assert (tokenizer.tokens, tokenizer.merges) == one_by_one(counts, bpe.SPECIAL_TOKENS, 6)
+    assert max(rows) <= 30 and len(rows) <= 6
+
+
 def in_rounds(counts, merges, looked_at, fetched_words, neighbours_of):
     """The rounds of the trainer without Spark."""
     vocabulary = bpe_training._Vocabulary(sorted({c for w in counts for c in w}), 1 << 30, merges)
