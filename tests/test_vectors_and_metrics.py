@@ -2,13 +2,15 @@ from __future__ import annotations
 
 import math
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import argmax, cross_entropy, softmax
+from corpusloom.operators import keywords
 from corpusloom.operators.keywords import top_keywords
 from corpusloom.operators.metrics import (
     clipped_counts,
@@ -198,3 +200,25 @@ def test_keywords_with_hot_and_rare_words(spark):
     for i in (0, 1, 1999):
         assert got[i, 1] == (f"rare{i}", round(2 * math.log(2000), 6))
         assert got[i, 2] == (f"twin{i // 2}", round(math.log(1000), 6)) and got[i, 3] == ("common", 0.0)
+
+
+def test_keywords_of_likely_terms_equal_those_of_all(spark, monkeypatch):
+    """Few common words, repeated and null keys, against a plain ranking; sure losers are not joined."""
+    monkeypatch.setattr(keywords, "COMMON_WORDS", 3)
+    rng = random.Random(8)
+    docs = [(rng.choice([None, *range(40)]), " ".join(rng.choices("abcdefghijklmnop", [40, 30, *[1] * 14], k=rng.randint(0, 30)))) for _ in range(60)]
+    docs += [(100, None), (101, ""), (102, "q q q r r r a")]
+    tf = defaultdict(Counter)
+    for key, text in docs:
+        tf[key].update((text or "").split())
+    df = Counter(w for words in tf.values() for w in words)
+    want = set()
+    for key, words in tf.items():
+        scores = {w: round(n * math.log(len(docs) / df[w]), 6) for w, n in words.items()}
+        want |= {(key, rank, w) for rank, w in enumerate(sorted(scores, key=lambda w: (-scores[w], w))[:3], 1)}
+    rows = keywords.top_keywords(spark.createDataFrame(docs, "k int, t string"), "k", "t", 3)
+    assert {(r["k"], r["rank"], r["word"]) for r in rows.collect()} == want
+    terms = keywords.count_terms(pa.array([["x", "y", "x", "z"], None, []]))
+    assert [sorted((t["word"], t["tf"]) for t in row) for row in terms.to_pylist()] == [[("x", 2), ("y", 1), ("z", 1)], [], []]
+    left = keywords.likely_terms(terms, pa.array(["y"]), np.array([0.1]), 2.0, 3.0, 1).to_pylist()
+    assert [[t["word"] for t in row] for row in left] == [["x"], [], []]
