@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -179,49 +178,72 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
+def _numbered(text: str, vocabulary: dict[str, int]) -> np.ndarray:
+    """The tokens of a text as numbers; new words enter the vocabulary."""
+    found = TOKEN.findall(text.lower())
+    return np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in found), dtype=np.int32, count=len(found))
+
+
+def _marked(tokens: list[np.ndarray], y: np.ndarray, vocabulary: dict[str, int], settings: Settings) -> np.ndarray:
+    """For each word whether it, or one of its beginnings, is far more frequent in toxic documents.
+
+    Documents are counted by numbers of words and beginnings, so that no list of
+    strings of the whole sample is held.
+    """
+    beginnings: dict[str, int] = {}
+    counted, size = np.zeros(len(vocabulary), dtype=bool), len(vocabulary)
+    numbers = np.full((len(vocabulary), 4), -1, dtype=np.int32)
+    for word, i in vocabulary.items():
+        if word not in BREAKS:
+            counted[i] = True
+            numbers[i, 0] = i
+            for place, n in enumerate((4, 5, 6), 1):
+                if len(word) > n:
+                    numbers[i, place] = size + beginnings.setdefault(word[:n], len(beginnings))
+    # The last cell takes what a word does not have.
+    shares = np.zeros((2, size + len(beginnings) + 1))
+    for ids, label in zip(tokens, y):
+        ids = np.unique(ids)
+        shares[label, np.unique(numbers[ids[counted[ids]]])] += 1
+    shares[:, -1] = 0
+    n0, n1 = (y == 0).sum(), (y == 1).sum()
+    few = max(settings.least, settings.least_share * n1)
+    telling = (shares[1] >= few) & ((shares[1] + 0.1) / n1 > settings.ratio * (shares[0] + 0.5) / n0)
+    telling[-1] = False
+    return counted & telling[numbers].any(axis=1)
+
+
 def fit(texts: list[str], toxic: list[int], prior: float, settings: Settings) -> Model:
     """A model from a sample; ``prior`` is the share of toxic rows among all labelled ones."""
     y = np.array(toxic)
     model = Model(np.zeros(settings.buckets + 1, dtype=np.float32), np.zeros((2, 2)), np.zeros(3), prior, settings)
     if len(y) == 0 or y.min() == y.max():
         return model
-    tokens = [TOKEN.findall(t.lower()) for t in texts]
-    shares = [Counter(), Counter()]
-    for words, label in zip(tokens, y):
-        shares[label].update({f for w in set(words) - BREAKS for f in features(w)})
-    n0, n1 = (y == 0).sum(), (y == 1).sum()
-
-    few = max(settings.least, settings.least_share * n1)
-
-    def marks(word: str) -> bool:
-        return any(
-            shares[1][f] >= few and (shares[1][f] + 0.1) / n1 > settings.ratio * (shares[0][f] + 0.5) / n0
-            for f in features(word)
-            if f[0] != "s"
-        )
+    vocabulary: dict[str, int] = {"\n": 0}
+    tokens = [_numbered(t, vocabulary) for t in texts]
+    marked = _marked(tokens, y, vocabulary, settings)
 
     # Every other document trains the field, the rest fit the curve.
     train = np.arange(len(y)) % 2 == 0
     if len(set(y[train])) < 2 or len(set(y[~train])) < 2:
         train[:] = True
-    vocabulary: dict[str, int] = {}
-    known: list[bool] = []
-    words, labels = [], []
-    for doc, label, use in zip(tokens, y, train):
-        if not use:
-            continue
-        for w in (*doc, "\n"):
-            i = vocabulary.setdefault(w, len(known))
-            if i == len(known):
-                known.append(w not in BREAKS and marks(w))
-            words.append(i)
-            labels.append(known[i] and label == 1)
-    words, labels = np.array(words), np.array(labels, dtype=np.float64)
-    names = list(vocabulary)
+    ends = [np.append(tokens[i], 0) for i in np.flatnonzero(train)]
+    words = np.concatenate(ends)
+    labels = (marked[words] & np.repeat(y[train] == 1, [len(e) for e in ends])).astype(np.float64)
+    del tokens, ends
+    # Words of the training documents, in the order in which they first occur.
+    used, first, words = np.unique(words, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    words = np.argsort(order)[words]
+    every = list(vocabulary)
+    names = [every[i] for i in used[order].tolist()]
+    del vocabulary, every
     lists = [[settings.buckets] if w in BREAKS else [*_ids(w, settings.buckets), settings.buckets] for w in names]
     owner = np.repeat(np.arange(len(names)), [len(x) for x in lists])
-    flat = np.concatenate([np.array(x) for x in lists])
+    flat = np.concatenate([np.array(x, dtype=np.int32) for x in lists])
     breaks = np.array([w in BREAKS for w in names])[words]
+    del lists, used, first, order
+    words = words.astype(np.int32)
     chains = Chains(breaks)
     inside = ~breaks
     # Moves between labels inside chains.

@@ -7,6 +7,8 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -474,3 +476,32 @@ def test_pipeline_stages(spark):
         if name != "mixing sources" and name != "BPE encoding":
             assert len(set(rows)) == len(rows)
             ids = set(rows)
+
+
+def test_marked_words_are_those_of_plain_counts():
+    """Words far more frequent in toxic documents, by themselves or by a beginning, from numbers instead of strings."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["alpha", "beta", "vilest", "vile", "vilely", "go", "x.", "Vilenesses"], [9, 9, *[6 * (i % 2)] * 3, 5, 2, 3 * (i % 2)], k=12)) for i in range(40)]
+    y = np.arange(40) % 2
+    settings = toxic_crf.Settings(ratio=3.0)
+    vocabulary = {"\n": 0}
+    numbered = [toxic_crf._numbered(t, vocabulary) for t in texts]
+    marked = toxic_crf._marked(numbered, y, vocabulary, settings)
+    shares = [Counter(), Counter()]
+    for text, label in zip(texts, y):
+        shares[label].update({f for w in set(toxic_crf.TOKEN.findall(text.lower())) - toxic_crf.BREAKS for f in toxic_crf.features(w)})
+    few = max(settings.least, settings.least_share * 20)
+    for word, i in vocabulary.items():
+        telling = [f for f in toxic_crf.features(word) if f[0] != "s" and shares[1][f] >= few and (shares[1][f] + 0.1) / 20 > 3.0 * (shares[0][f] + 0.5) / 20]
+        assert marked[i] == (word not in toxic_crf.BREAKS and bool(telling))
+    assert marked.any() and not marked.all()
+
+
+def test_training_holds_no_strings_of_the_whole_sample():
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(400)) for _ in range(300)]
+    tracemalloc.start()
+    toxic_crf.fit(texts, [i % 2 for i in range(300)], 0.5, toxic_crf.Settings(buckets=1 << 10, epochs=1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
