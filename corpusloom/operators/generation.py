@@ -110,7 +110,7 @@ def successors(model: DataFrame, token: str = "next", probability: str = "p") ->
 
 
 #: Cells of the padded table that rows are drawn in at a time.
-DRAW_CELLS = 1 << 20
+DRAW_CELLS = 1 << 17
 
 
 def drawn_places(ps: np.ndarray, sizes: np.ndarray, u: np.ndarray, temperature: np.ndarray, top_p: np.ndarray) -> np.ndarray:
@@ -163,13 +163,14 @@ def generate_from(
     seed: int = 42,
     prompt_id: str = "prompt_id",
     current: str = "current",
-    durable_every: int = 20,
+    durable_every: int = 3,
 ) -> DataFrame:
     """Add ``generated``, as ``generate`` does, with sampling parameters of each prompt.
 
     The next-token table stays as it is, one row per current token: the truncated
     distribution is derived for the tokens that prompts reach, not for each
-    combination of table row and parameters.
+    combination of table row and parameters. Every step in a stage has a Python
+    worker of its own beside each task, so few steps share one.
     """
     table = materialize(successors(model), "successors").withColumnRenamed("prev", "_prev")
     column = lambda value: value if isinstance(value, Column) else F.lit(value)

@@ -153,7 +153,8 @@ FROM routed JOIN drawn USING (prompt_id)""",
 def routed(spark, root):
     adapters = spark.createDataFrame(list(ADAPTERS), ADAPTER_SCHEMA)
     name = F.when(F.pmod("conv_id", F.lit(2)) == 0, ADAPTERS[0][0]).otherwise(ADAPTERS[1][0])
-    prompts = route_to_adapters(started(spark, root).withColumn("adapter", name), adapters)
+    # The text is not needed any more, and prompts are written several times.
+    prompts = route_to_adapters(started(spark, root).withColumn("adapter", name), adapters).drop("prompt")
     drawn = generate_from(
         prompts, next_tokens(spark, root), F.col("temperature"), F.col("top_p"), F.col("max_tokens"), MAX_STEPS, SEED
     )

@@ -393,3 +393,12 @@ def test_scoring_plug_in(spark):
     prompts = spark.createDataFrame([(i, f"p{i}") for i in range(5)], "prompt_id long, prompt string").coalesce(1)
     rows = score_prompts(prompts, make).collect()
     assert [r["generated"] for r in sorted(rows)] == [f"p{i}:1" for i in range(5)]
+
+
+def test_few_python_steps_share_a_stage(spark):
+    """Each step of a stage holds a Python worker beside every task."""
+    prompts = spark.createDataFrame([("p", "a", 1.0, 1.0, 40)], "prompt_id string, current string, t double, tp double, n int")
+    model = spark.createDataFrame([("a", "a", 1.0)], "prev string, next string, p double")
+    rows = generate_from(prompts, model, F.col("t"), F.col("tp"), F.col("n"), 40)
+    assert 1 <= rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") <= 3
+    assert rows.first()["generated"] == ["a"] * 40
