@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import argmax, cross_entropy, softmax
-from corpusloom.operators import keywords
+from corpusloom.operators import keywords, metrics
 from corpusloom.operators.keywords import top_keywords
 from corpusloom.operators.metrics import (
     clipped_counts,
@@ -222,3 +223,19 @@ def test_keywords_of_likely_terms_equal_those_of_all(spark, monkeypatch):
     assert [sorted((t["word"], t["tf"]) for t in row) for row in terms.to_pylist()] == [[("x", 2), ("y", 1), ("z", 1)], [], []]
     left = keywords.likely_terms(terms, pa.array(["y"]), np.array([0.1]), 2.0, 3.0, 1).to_pylist()
     assert [[t["word"] for t in row] for row in left] == [["x"], [], []]
+
+
+def test_normal_form_of_arrow_texts(spark):
+    """The patterns one after the other, on whole arrays; the plan holds none of them."""
+    texts = ["a-\nb c.d, 1.5,x 3-4 &quot;q&quot;", "..,", "é,9.가-7", "", None, "<skipped>{z}~`[w]\\^_ $#!\"%&(*)+/:;<=>?@"]
+    plain = []
+    for text in texts:
+        for old, new in metrics.BLEU_LITERALS if text is not None else ():
+            text = text.replace(old, new)
+        for pattern, new in metrics.BLEU_PATTERNS if text is not None else ():
+            text = re.sub(pattern, new, f" {text} " if pattern is metrics.BLEU_PATTERNS[0][0] else text)
+        plain.append(text)
+    assert metrics.bleu_normal_form(pa.array(texts)).to_pylist() == plain
+    rows = spark.createDataFrame([(t, t) for t in texts], "p string, r string")
+    assert "regexp_replace" not in metrics.metric_states(rows, F.col("p"), F.col("r"))._jdf.queryExecution().toString()
+    assert corpus_bleu(rows, "p", "r").first()["bleu"] == 1.0
