@@ -324,21 +324,24 @@ def pairs_by_differences(differences: DataFrame, near: Near, tile_rows: int = TI
     rows = rows.withColumns({"apart": apart, "needs": F.when(apart, F.greatest(F.lit(1), div(F.col("f") - F.col("bound") + 99, 100))).otherwise(div(F.col("f"), whole) + 1)})
     rows = rows.where(F.col("needs") <= F.col("r") + F.col("p"))
     marked = lambda name, out: F.transform(name, lambda s: F.struct(F.lit(out).alias("out"), s.alias("s")))
-    cells = rows.select("lead", "rid", F.explode(F.concat(marked("removed", True), marked("added", False))).alias("d")).select("lead", "rid", "d.out", "d.s")
+    every = F.concat(marked("removed", True), marked("added", False))
+    cells = rows.select("lead", "rid", F.explode(every).alias("d")).select("lead", "rid", "d.out", "d.s")
     held = cells.groupBy("lead", "out", "s").agg(F.count("*").alias("df"), F.min("rid").alias("rid"))
     alone = held.where("df = 1").groupBy("lead", "rid").agg(F.count("*").alias("u"))
-    kept = rows.drop("removed", "added").join(alone, ["lead", "rid"], "left").withColumn("common", F.col("r") + F.col("p") - F.coalesce("u", F.lit(0)))
+    kept = rows.join(alone, ["lead", "rid"], "left").withColumn("common", F.col("r") + F.col("p") - F.coalesce("u", F.lit(0)))
     kept = materialize(kept.where("common >= needs").drop("u", "p", "r"), "open-sets")
     # No partner has less differences than the one with the least.
     least = kept.groupBy("lead").agg(F.min("f").alias("least"))
     kept = kept.join(least, "lead").where(F.col("common") * whole >= F.col("f") + F.col("least") - F.col("bound"))
     kept = kept.withColumn("looked", F.col("common") - F.col("needs") + 1).drop("least")
     kept = materialize(kept, "open-sets")
-    ranked = cells.join(kept.select("lead", "rid", "looked"), ["lead", "rid"]).join(held.where("df > 1").drop("rid"), ["lead", "out", "s"])
-    # The rarest differences of each set first.
-    firsts = ranked.groupBy("lead", "rid", "looked").agg(F.array_sort(F.collect_list(F.struct("df", "out", "s"))).alias("all"))
-    firsts = firsts.select("lead", "rid", F.explode(F.slice("all", F.lit(1), F.col("looked").cast("int"))).alias("d")).select("lead", "rid", "d.out", "d.s")
-    postings = materialize(firsts.join(kept.drop("looked"), ["lead", "rid"]), "postings")
+    # The rarest differences of each set first; a set keeps its figures beside them.
+    figures = ["lead", "rid", "component", "f", "bound", "common", "apart"]
+    spelled = kept.select(*figures, "looked", F.explode(every).alias("d")).select(*figures, "looked", "d.out", "d.s")
+    ranked = spelled.join(held.where("df > 1").drop("rid"), ["lead", "out", "s"])
+    firsts = ranked.groupBy(*figures, "looked").agg(F.array_sort(F.collect_list(F.struct("df", "out", "s"))).alias("all"))
+    firsts = firsts.select(*figures, F.explode(F.slice("all", F.lit(1), F.col("looked").cast("int"))).alias("d"))
+    postings = materialize(firsts.select(*figures, "d.out", "d.s"), "postings")
     key = ["lead", "out", "s"]
     sizes = postings.groupBy(*key).agg(F.count("*").alias("g"), F.min("component").alias("low"), F.max("component").alias("high"), F.max("apart").alias("any"))
     sizes = sizes.where("low != high and any").select(*key, F.ceil(F.col("g") / tile_rows).cast("long").alias("tiles"))

@@ -137,3 +137,14 @@ def test_very_long_texts(spark):
     rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[:60_000]))]
     got = {r["_id"]: r["component_id"] for r in near_groups(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_differences_are_not_joined_back_to_their_sets(spark, monkeypatch):
+    """A set's figures stay beside its differences: no join by set makes a row for every difference."""
+    schema = "lead long, rid long, component long, size long, removed array<long>, added array<long>"
+    sets = [(1, r, r, 20, [1, 2, 3, 4], [100 + r % 2, 200]) for r in range(2, 8)]
+    joins, kind = [], type(spark.range(0))
+    plain = kind.join
+    monkeypatch.setattr(kind, "join", lambda self, other, on=None, how=None: joins.append((str(on), how)) or plain(self, other, on, how))
+    pairs_by_differences(spark.createDataFrame(sets, schema), Near())
+    assert joins and ("['lead', 'rid']", None) not in joins
