@@ -23,6 +23,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from itertools import chain, filterfalse
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -197,6 +198,20 @@ class _Sorted:
             self.keys[place[put]], self.values[place[put]] = keys[put], values[put]
             keys, values, place = keys[~put], values[~put], (place[~put] + 1) & self.mask
 
+    def getter(self) -> Callable[[int, int], int]:
+        """``look`` for one key at a time, as ``dict.get``."""
+        keys, values, shift, mask = memoryview(self.keys), memoryview(self.values), int(self.shift), self.mask
+
+        def get(key: int, missing: int) -> int:
+            place = (key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> shift
+            while keys[place] != key:
+                if keys[place] < 0:
+                    return missing
+                place = (place + 1) & mask
+            return values[place]
+
+        return get
+
     def _place(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
@@ -223,10 +238,18 @@ class Tables:
         self.born, self.left, self.after = flat(automaton.born), flat(automaton.left), flat(automaton.after)
         self.owner, self.made, self.ends, self.lengths = (flat(x) for x in (automaton.owner, automaton.made, automaton.ends, automaton.lengths))
         # The state before the copies of a state's token; the first state has none.
-        self.before = np.where(self.owner >= 0, flat(automaton.base)[self.owner], 0)
+        self.base = flat(automaton.base)
+        self.before = np.where(self.owner >= 0, self.base[self.owner], 0)
         self.cut = _Sorted(automaton.cut, 0)
         self.trie = _Sorted(automaton.trie, -1)
-        self.automaton = automaton  # for long words, one at a time
+
+    def automaton(self) -> Automaton:
+        """The automaton on these arrays, for long words, one at a time; nothing is copied."""
+        found = Automaton.__new__(Automaton)
+        for name in ("born", "left", "base", "after", "owner", "made", "ends", "lengths"):
+            setattr(found, name, memoryview(getattr(self, name)))
+        found.cut, found.trie = SimpleNamespace(get=self.cut.getter()), SimpleNamespace(get=self.trie.getter())
+        return found
 
     def has_arcs(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """``Automaton.has_arc`` for many pairs of a state and a token."""
@@ -256,7 +279,8 @@ class Tables:
         The words advance together: step i looks at the tokens that begin at byte
         i of every word that is longer, and walks the trie one byte at a time.
         """
-        out = [np.array(self.automaton.path(w), dtype=np.int32).tobytes() if len(w) > LONG_WORD else b"" for w in words]
+        plain = self.automaton()
+        out = [np.array(plain.path(w), dtype=np.int32).tobytes() if len(w) > LONG_WORD else b"" for w in words]
         sizes = np.array([len(w) if len(w) <= LONG_WORD else 0 for w in words], dtype=np.int64)
         order = np.argsort(-sizes, kind="stable")
         sizes = sizes[order]
@@ -314,30 +338,29 @@ class Encoder:
         self.tables: Tables = compiled["tables"]
         self.added_ids: dict[str, int] = compiled["added"]
         self.labels: list[bytes] = compiled["labels"]
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        # Words and chunks in one map: a word that is cut again by itself stays whole.
+        self.known: dict[str, bytes] = {}
         self.cut = re.compile(CHUNKS)
         self.split = regex.compile(WORDS)
         by_length = sorted(self.added_ids, key=len, reverse=True)
         self.added = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")") if by_length else None
 
-    @staticmethod
-    def _trim(known: dict[str, bytes], fresh: dict[str, bytes]) -> None:
+    def _learn(self, chunks: list[str]) -> list[str]:
+        """Enter new chunks and their new words; what was entered."""
+        cut = {chunk: self.split.findall(chunk) for chunk in chunks}
+        need = list(filterfalse(self.known.__contains__, set(chain.from_iterable(cut.values()))))
+        self.known.update(zip(need, self.tables.paths([w.encode() for w in need])))
+        get = self.known.__getitem__
+        several = {c: b"".join(map(get, words)) for c, words in cut.items() if len(words) > 1}
+        self.known.update(several)
+        return [*need, *several]
+
+    def _trim(self, fresh: list[str]) -> None:
         """Forget what is long, and what is new once there is enough."""
-        full = len(known) > KEPT_WORDS
+        full = len(self.known) > KEPT_WORDS
         for key in fresh:
             if full or len(key) > KEPT_LENGTH:
-                del known[key]
-
-    def _new_chunks(self, chunks: list[str]) -> dict[str, bytes]:
-        cut = {chunk: self.split.findall(chunk) for chunk in chunks}
-        need = list(filterfalse(self.words.__contains__, set(chain.from_iterable(cut.values()))))
-        fresh = dict(zip(need, self.tables.paths([w.encode() for w in need])))
-        self.words.update(fresh)
-        get = self.words.__getitem__
-        found = {c: get(words[0]) if len(words) == 1 else b"".join(map(get, words)) for c, words in cut.items()}
-        self._trim(self.words, fresh)
-        return found
+                del self.known[key]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed int32 ids of each text."""
@@ -352,11 +375,10 @@ class Encoder:
                 parts = self.added.split(text)
                 pieces.append([self.cut.findall(p) if i % 2 == 0 else np.int32(self.added_ids[p]).tobytes() for i, p in enumerate(parts)])
         listed = chain.from_iterable(part for row in pieces for part in row if isinstance(part, list))
-        fresh = self._new_chunks(list(filterfalse(self.chunks.__contains__, set(listed))))
-        self.chunks.update(fresh)
-        get = self.chunks.__getitem__
+        fresh = self._learn(list(filterfalse(self.known.__contains__, set(listed))))
+        get = self.known.__getitem__
         out = [b"".join([part if isinstance(part, bytes) else b"".join(map(get, part)) for part in row]) for row in pieces]
-        self._trim(self.chunks, fresh)
+        self._trim(fresh)
         return out
 
     def decode(self, ids: list[int]) -> str:

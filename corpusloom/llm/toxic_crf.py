@@ -351,6 +351,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 [part.column(0), part.column(1), pa.array(scores, pa.float64()), pa.array(spans, kind)],
                 ["_id", "_th", "score", "spans"],
             )
+        held._emit = None  # the process stays, and the model with it; the words of this task do not
 
     return keyed(docs, id_col, text_col).mapInArrow(
         run, "_id long, _th long, score double, spans array<struct<start: long, end: long>>"
