@@ -14,7 +14,9 @@ at a known merge, and every arc of every state follows from two rules:
 The driver compiles the automaton once into flat arrays. A pre-split word has
 exactly one path through it; it is found in one pass over its bytes, because every
 prefix of the word has exactly one path as well. All new words of a slice of rows
-go through the automaton together, one byte at a time. Decoding emits the labels.
+go through the automaton together, one token at a time: the longest that the last
+state has an arc for, and back from where none leads on. As a place is reached by
+one path only, it is entered once. Decoding emits the labels.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain, filterfalse
+from functools import lru_cache
+from itertools import chain
 from types import SimpleNamespace
 
 import numpy as np
@@ -36,18 +39,41 @@ from corpusloom.llm.common import slices
 #: How the byte-level pre-tokenizer cuts a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
-#: A coarser cut with the same borders at white space (the code points with that
-#: property): a run of other characters with the one space before it, or white space.
+#: The code points with the property White_Space.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CHUNKS = rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 
-#: Words and chunks that a task keeps, and the longest of them; others are computed anew.
+#: Words that a task keeps, and the longest of them; others are computed anew.
 KEPT_WORDS = 250_000
 KEPT_LENGTH = 64
 
 #: Longer words go through the automaton one at a time.
 LONG_WORD = 256
 
+#: Words whose ids are put together at once.
+BLOCK_WORDS = 1 << 16
+
+#: Answers about pairs of a state and a token that are kept, a power of two.
+KEPT_ARCS = 1 << 17
+
+
+@lru_cache(1)
+def word_patterns() -> tuple[re.Pattern, re.Pattern, regex.Pattern]:
+    """``WORDS`` spelled out for the first 65,536 code points, what finds other ones, and ``WORDS``.
+
+    The spelled-out form takes half the time. It tries letters and numbers before
+    contractions, as no two of these can match at one place.
+    """
+
+    def members(kind: str) -> str:
+        found = [i for i in range(1 << 16) if not 0xD800 <= i < 0xE000 and regex.match(kind, chr(i))]
+        firsts = [i for i, before in zip(found, [-2, *found]) if i != before + 1]
+        lasts = [i for i, after in zip(found, [*found[1:], -2]) if i != after - 1]
+        return "".join(f"\\u{i:04x}-\\u{j:04x}" for i, j in zip(firsts, lasts))
+
+    letter, number = members(r"\p{L}"), members(r"\p{N}")
+    plain = rf" ?[{letter}]+| ?[{number}]+|'(?:[stmd]|re|ve|ll)| ?[^{_SPACE}{letter}{number}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+    return re.compile(plain), re.compile("[\U00010000-\U0010ffff]"), regex.compile(WORDS)
+
 
 def byte_symbols() -> dict[str, int]:
     """The printable stand-in of each byte: visible Latin-1 characters are their
@@ -230,24 +256,95 @@ class _Sorted:
         return out
 
 
+class _Trie:
+    """The byte trie as a double array: byte b leads from node n to ``base[n] + b``, if ``above`` there is n."""
+
+    def __init__(self, automaton: Automaton):
+        children: dict[int, list[tuple[int, int]]] = {}
+        for key, child in automaton.trie.items():
+            children.setdefault(key >> 8, []).append((key & 255, child))
+        for below in children.values():
+            below.sort()
+        place = np.zeros(len(automaton.ends), dtype=np.int64)
+        base = np.zeros(len(automaton.ends), dtype=np.int64)
+        used = bytearray(b"\x01") + bytes(256 * (len(place) + 2))
+        # Nodes with many children come first. Each takes the first free places from ``start``
+        # on, which leaves what is nearly full behind; single children fill that.
+        start = alone = 1
+        for node, below in sorted(children.items(), key=lambda x: -len(x[1])):
+            low, rest = below[0][0], [byte - below[0][0] for byte, _ in below[1:]]
+            at, tries = used.find(0, max(low, start if rest else alone)), 0
+            while any(used[at + byte] for byte in rest):
+                at, tries = used.find(0, at + 1), tries + 1
+            if rest:
+                start = at if tries > 16 else start
+            elif at > low:
+                alone = at
+            base[node] = at - low
+            for byte, child in below:
+                used[at - low + byte] = 1
+                place[child] = at - low + byte
+        size = used.rfind(1) + 258
+        self.base, self.above, self.ends = (np.full(size, x, dtype=np.int32) for x in (0, -1, -1))
+        self.base[place], self.ends[place] = base, automaton.ends
+        parents = np.array([key >> 8 for key in automaton.trie], dtype=np.int64)
+        self.above[place[np.fromiter(automaton.trie.values(), np.int64, len(parents))]] = place[parents]
+        # The longest token that ends at a node or above it. Children come after their parents.
+        longest = list(automaton.ends)
+        for key, child in automaton.trie.items():
+            if longest[child] < 0:
+                longest[child] = longest[key >> 8]
+        self.longest = np.full(size, -1, dtype=np.int32)
+        self.longest[place] = longest
+
+    def getter(self) -> Callable[[int, int], int]:
+        """The next node for node * 256 + byte, as ``dict.get``."""
+        base, above = memoryview(self.base), memoryview(self.above)
+
+        def get(key: int, missing: int) -> int:
+            place = base[key >> 8] + (key & 255)
+            return place if above[place] == key >> 8 else missing
+
+        return get
+
+    def look(self, data: np.ndarray) -> np.ndarray:
+        """The longest token that begins at each byte of ``data``; a value of 256 ends all."""
+        node, at, step = np.zeros(len(data), dtype=np.int32), np.arange(len(data)), 0
+        while len(at):
+            here = node[at]
+            place = self.base[here] + data[at + step]
+            inside = np.flatnonzero(self.above[place] == here)
+            at = at[inside]
+            node[at] = place[inside]
+            step += 1
+        return self.longest[node]
+
+
 class Tables:
     """A compiled automaton as flat arrays."""
 
     def __init__(self, automaton: Automaton):
         flat = lambda values: np.array(values, dtype=np.int32)
         self.born, self.left, self.after = flat(automaton.born), flat(automaton.left), flat(automaton.after)
-        self.owner, self.made, self.ends, self.lengths = (flat(x) for x in (automaton.owner, automaton.made, automaton.ends, automaton.lengths))
+        self.owner, self.made, self.lengths = flat(automaton.owner), flat(automaton.made), flat(automaton.lengths)
         # The state before the copies of a state's token; the first state has none.
         self.base = flat(automaton.base)
         self.before = np.where(self.owner >= 0, self.base[self.owner], 0)
         self.cut = _Sorted(automaton.cut, 0)
-        self.trie = _Sorted(automaton.trie, -1)
+        self.trie = _Trie(automaton)
+        # The next token that is a beginning of a token.
+        self.shorter = np.full(len(self.born), -1, dtype=np.int32)
+        at = np.flatnonzero(self.trie.ends >= 0)
+        self.shorter[self.trie.ends[at]] = self.trie.longest[self.trie.above[at]]
+        # Pairs of a state and a token that were looked at last, by their hash: the pair * 2, 1 more if there is an arc.
+        self.seen = np.full(KEPT_ARCS, -1, dtype=np.int64)
 
     def automaton(self) -> Automaton:
         """The automaton on these arrays, for long words, one at a time; nothing is copied."""
         found = Automaton.__new__(Automaton)
-        for name in ("born", "left", "base", "after", "owner", "made", "ends", "lengths"):
+        for name in ("born", "left", "base", "after", "owner", "made", "lengths"):
             setattr(found, name, memoryview(getattr(self, name)))
+        found.ends = memoryview(self.trie.ends)
         found.cut, found.trie = SimpleNamespace(get=self.cut.getter()), SimpleNamespace(get=self.trie.getter())
         return found
 
@@ -273,62 +370,98 @@ class Tables:
             live, states, tokens = live[go], states[go], tokens[go]
         return out
 
+    def kept_arcs(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """``has_arcs``, of which the last answers are kept: few pairs are most of a text."""
+        pairs = (states.astype(np.int64) << 32) | tokens
+        place = ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - KEPT_ARCS.bit_length())).astype(np.int64)
+        seen = self.seen[place]
+        new = np.flatnonzero(seen >> 1 != pairs)
+        if len(new):
+            seen[new] = pairs[new] * 2 + self.has_arcs(states[new], tokens[new])
+            self.seen[place[new]] = seen[new]
+        return seen & 1 == 1
+
     def paths(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each pre-split word as packed int32. KeyError if a byte has no symbol.
+        """The ids of each pre-split word as packed int32. KeyError if a byte has no symbol."""
+        ids, counts = self.flat_paths(words)
+        packed, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [packed[low:high] for low, high in zip([0, *ends], ends)]
 
-        The words advance together: step i looks at the tokens that begin at byte
-        i of every word that is longer, and walks the trie one byte at a time.
+    def flat_paths(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pre-split words, one word after the other, and how many each has.
+
+        The words advance together. Each has a place, the state there and the
+        token to try next, from the longest that begins there to shorter ones; when none
+        is left it goes back by its last token and tries what is shorter than that.
         """
-        plain = self.automaton()
-        out = [np.array(plain.path(w), dtype=np.int32).tobytes() if len(w) > LONG_WORD else b"" for w in words]
-        sizes = np.array([len(w) if len(w) <= LONG_WORD else 0 for w in words], dtype=np.int64)
-        order = np.argsort(-sizes, kind="stable")
-        sizes = sizes[order]
-        data = np.frombuffer(b"".join(words[k] for k in order[sizes > 0].tolist()), dtype=np.uint8).astype(np.int64)
-        begin = np.cumsum(sizes) - sizes
-        # The token that came to each place; every word has one place more than bytes.
-        came = np.full(len(data) + len(words), -1, dtype=np.int32)
-        home = begin + np.arange(len(words))
-        for i in range(int(sizes[0]) if len(sizes) else 0):
-            k = int(np.searchsorted(-sizes, -i, side="left"))  # words longer than i
-            if i:
-                last = came[home[:k] + i]
-                if (last < 0).any():
-                    raise KeyError(int(data[begin[:k][last < 0][0] + i - 1]))
-                state = self.after[last]
-            else:
-                state = np.zeros(k, dtype=np.int32)
-            live, node, j = np.arange(k), np.zeros(k, dtype=np.int64), i
-            while len(live):
-                node = self.trie.look(node * 256 + data[begin[live] + j]).astype(np.int64)
-                inside = node >= 0
-                live, node = live[inside], node[inside]
-                token = self.ends[node]
-                open_ = np.flatnonzero((token >= 0) & (came[home[live] + j + 1] < 0))
-                open_ = open_[self.has_arcs(state[live[open_]], token[open_])]
-                came[home[live[open_]] + j + 1] = token[open_]
-                j += 1
-                longer = sizes[live] > j
-                live, node = live[longer], node[longer]
-        ends = came[home + sizes]
-        if ((ends < 0) & (sizes > 0)).any():
-            raise KeyError("a byte without a symbol")
+        if not words:
+            return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        long = [k for k, word in enumerate(words) if len(word) > LONG_WORD]
+        if long:
+            plain = self.automaton()
+            found = self.flat_paths([word if len(word) <= LONG_WORD else b"" for word in words])
+            return spliced(*found, long, [np.array(plain.path(words[k]), dtype=np.int32) for k in long])
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        home = np.cumsum(sizes + 1) - sizes - 1
+        # Every word has one place more than bytes.
+        data = np.frombuffer(b"\0".join(words) + b"\0", dtype=np.uint8).astype(np.int32)
+        data[home + sizes] = 256
+        came = np.full(len(data), -1, dtype=np.int32)  # the token that came to each place
+        first = self.trie.look(data)
+        live = np.flatnonzero(sizes > 0)
+        begin, stop = home[live], home[live] + sizes[live]
+        at, state, token = begin.copy(), np.zeros(len(live), dtype=np.int32), first[begin]
+        while len(at):
+            back = np.flatnonzero(token < 0)
+            if len(back):
+                if (at[back] == begin[back]).any():
+                    raise KeyError("a byte without a symbol")
+                last = came[at[back]]
+                at[back] -= self.lengths[last]
+                token[back] = self.shorter[last]
+                state[back] = np.where(at[back] > begin[back], self.after[came[at[back]]], 0)
+            open_ = np.flatnonzero(token >= 0)
+            open_ = open_[came[at[open_] + self.lengths[token[open_]]] < 0]
+            go = open_[self.kept_arcs(state[open_], token[open_])]
+            taken = token[go]
+            token = np.where(token >= 0, self.shorter[token], -1)
+            at[go] += self.lengths[taken]
+            came[at[go]] = taken
+            state[go], token[go] = self.after[taken], first[at[go]]
+            ended = at == stop
+            if ended.any():
+                more = ~ended
+                at, begin, stop, state, token = at[more], begin[more], stop[more], state[more], token[more]
         # Backwards from the end, all words at once.
-        back: list[tuple[np.ndarray, np.ndarray]] = []
-        live, at = np.flatnonzero(sizes > 0), sizes[sizes > 0]
-        while len(live):
-            token = came[home[live] + at]
-            back.append((live, token))
-            at = at - self.lengths[token]
-            live, at = live[at > 0], at[at > 0]
-        if back:
-            word = np.concatenate([b[0] for b in back[::-1]])
-            token = np.concatenate([b[1] for b in back[::-1]])
-            packed = token[np.argsort(word, kind="stable")].tobytes()
-            ends = (4 * np.cumsum(np.bincount(word, minlength=len(words)))).tolist()
-            for k, low, high in zip(order[sizes > 0].tolist(), [0, *ends], ends):
-                out[k] = packed[low:high]
-        return out
+        passed = np.zeros(len(data), dtype=bool)
+        live = np.flatnonzero(sizes > 0)
+        begin, at = home[live], home[live] + sizes[live]
+        while len(at):
+            passed[at] = True
+            at = at - self.lengths[came[at]]
+            more = at > begin
+            at, begin = at[more], begin[more]
+        return came[passed], np.add.reduceat(passed, home, dtype=np.int64)
+
+
+def spliced(ids: np.ndarray, counts: np.ndarray, words: list[int], parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """``ids`` and ``counts`` of each word, with the parts as the ids of some words that have none."""
+    sizes = [len(part) for part in parts]
+    places = np.repeat((np.cumsum(counts) - counts)[words], sizes)
+    counts[words] = sizes
+    return np.insert(ids, places, np.concatenate(parts)), counts
+
+
+class _Numbers(dict):
+    """Words and their numbers; one that is not there gets the next number and is ``fresh``."""
+
+    def __init__(self):
+        self.kept, self.fresh = 0, []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = self.kept + len(self.fresh)
+        self.fresh.append(word)
+        return number
 
 
 class Encoder:
@@ -338,53 +471,86 @@ class Encoder:
         self.tables: Tables = compiled["tables"]
         self.added_ids: dict[str, int] = compiled["added"]
         self.labels: list[bytes] = compiled["labels"]
-        # Words and chunks in one map: a word that is cut again by itself stays whole.
-        self.known: dict[str, bytes] = {}
-        self.cut = re.compile(CHUNKS)
-        self.split = regex.compile(WORDS)
+        self.known = _Numbers()
+        # The ids of the known words by their number, and how many each has.
+        self.ids, self.counts = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        self.plain, self.wide, self.split = word_patterns()
         by_length = sorted(self.added_ids, key=len, reverse=True)
         self.added = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")") if by_length else None
 
-    def _learn(self, chunks: list[str]) -> list[str]:
-        """Enter new chunks and their new words; what was entered."""
-        cut = {chunk: self.split.findall(chunk) for chunk in chunks}
-        need = list(filterfalse(self.known.__contains__, set(chain.from_iterable(cut.values()))))
-        self.known.update(zip(need, self.tables.paths([w.encode() for w in need])))
-        get = self.known.__getitem__
-        several = {c: b"".join(map(get, words)) for c, words in cut.items() if len(words) > 1}
-        self.known.update(several)
-        return [*need, *several]
-
-    def _trim(self, fresh: list[str]) -> None:
-        """Forget what is long, and what is new once there is enough."""
-        full = len(self.known) > KEPT_WORDS
-        for key in fresh:
-            if full or len(key) > KEPT_LENGTH:
-                del self.known[key]
+    def _words(self, text: str | None) -> list[str]:
+        """The words of a text; an added token is one, and no other word can be equal to it."""
+        if not text:
+            return []
+        if self.added is not None and self.added.search(text):
+            parts = self.added.split(text)
+            return list(chain.from_iterable([p] if i % 2 else self._words(p) for i, p in enumerate(parts)))
+        return (self.plain if text.isascii() or not self.wide.search(text) else self.split).findall(text)
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of new words, one word after the other, and how many each has."""
+        added = [k for k, word in enumerate(words) if word in self.added_ids]
+        found = self.tables.flat_paths([b"" if word in self.added_ids else word.encode() for word in words])
+        return spliced(*found, added, [np.array([self.added_ids[words[k]]], dtype=np.int32) for k in added]) if added else found
+
+    def _keep(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Forget of the new words what is long, and all once there is enough."""
+        known, fresh = self.known, self.known.fresh
+        full = known.kept + len(fresh) > KEPT_WORDS
+        short = np.array([not full and len(word) <= KEPT_LENGTH for word in fresh], dtype=bool)
+        for k in np.flatnonzero(~short).tolist():
+            del known[fresh[k]]
+        if not full:
+            # A number that was forgotten stays empty.
+            self.ids = np.concatenate([self.ids, ids[np.repeat(short, counts)]])
+            self.counts = np.concatenate([self.counts, counts * short])
+            known.kept += len(fresh)
+        known.fresh = []
+
+    def encode_flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after the other, and where each begins and the last ends."""
+        words = [self._words(text) for text in texts]
+        starts = np.cumsum([0, *map(len, words)])
+        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(starts[-1]))
+        del words
+        ids, counts = self.ids, self.counts
+        if self.known.fresh:
+            new_ids, new_counts = self._learn(self.known.fresh)
+            ids, counts = np.concatenate([ids, new_ids]), np.concatenate([counts, new_counts])
+            self._keep(new_ids, new_counts)
+        first = np.cumsum(counts) - counts
+        counts = counts[numbers]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        out = np.empty(ends[-1], dtype=np.int32)
+        for k in range(0, len(numbers), BLOCK_WORDS):
+            part = slice(k, k + BLOCK_WORDS)
+            low, high = ends[k], ends[min(k + BLOCK_WORDS, len(numbers))]
+            out[low:high] = ids[np.repeat(first[numbers[part]] - ends[:-1][part], counts[part]) + np.arange(low, high)]
+        return out, ends[starts]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed int32 ids of each text."""
-        # Each text as pieces: lists of chunks, and packed ids of added tokens.
-        pieces: list[list[list[str] | bytes]] = []
-        for text in texts:
-            if not text:
-                pieces.append([])
-            elif self.added is None or not self.added.search(text):
-                pieces.append([self.cut.findall(text)])
-            else:
-                parts = self.added.split(text)
-                pieces.append([self.cut.findall(p) if i % 2 == 0 else np.int32(self.added_ids[p]).tobytes() for i, p in enumerate(parts)])
-        listed = chain.from_iterable(part for row in pieces for part in row if isinstance(part, list))
-        fresh = self._learn(list(filterfalse(self.known.__contains__, set(listed))))
-        get = self.known.__getitem__
-        out = [b"".join([part if isinstance(part, bytes) else b"".join(map(get, part)) for part in row]) for row in pieces]
-        self._trim(fresh)
-        return out
+        ids, ends = self.encode_flat(texts)
+        return [ids[low:high].tobytes() for low, high in zip(ends.tolist(), ends[1:].tolist())]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
+def joined(labels: pa.Array, rows: pa.Array) -> pa.Array | None:
+    """The texts of a column of ids, their labels joined by Arrow; None for bytes that are no text and for odd ids."""
+    try:
+        taken = labels.take(rows.flatten())
+        if taken.null_count:
+            return None
+        counts = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        _, offsets, data = taken.buffers()
+        ends = np.frombuffer(offsets, np.int32, len(taken) + 1, 4 * taken.offset)[np.cumsum([0, *counts])]
+        return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), data]).cast(pa.string())
+    except (pa.ArrowInvalid, pa.ArrowIndexError):
+        return None
+
+
 def compiled(tokenizer: dict) -> dict:
     """The tables that go to the executors, from the parts of a tokenizer file."""
     labels = tokenizer["labels"]
@@ -395,7 +561,7 @@ def compiled(tokenizer: dict) -> dict:
     }
 
 
-def _with_column(df: DataFrame, column: str, out: str, kind: str, values: Callable[[Iterator[list]], Iterator[pa.Array]]) -> DataFrame:
+def _with_column(df: DataFrame, column: str, out: str, kind: str, values: Callable[[Iterator[pa.Array]], Iterator[pa.Array]]) -> DataFrame:
     """``df`` with a new column, made from slices of the values of another.
 
     Columns travel under plain names, so that theirs may hold any character.
@@ -407,10 +573,10 @@ def _with_column(df: DataFrame, column: str, out: str, kind: str, values: Callab
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[pa.RecordBatch] = []
 
-        def read() -> Iterator[list]:
+        def read() -> Iterator[pa.Array]:
             for part in slices(batches):
                 parts.append(part)
-                yield part.column(at).to_pylist()
+                yield part.column(at)
 
         for made in values(read()):
             part = parts.pop()
@@ -440,14 +606,11 @@ class ByteTokenizer:
         """
         shared = self.shared
 
-        def run(slices_of_texts: Iterator[list]) -> Iterator[pa.Array]:
+        def run(slices_of_texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = Encoder(shared.value)
             for texts in slices_of_texts:
-                packed = encoder.encode(texts)
-                ends = np.zeros(len(packed) + 1, dtype=np.int32)
-                np.cumsum([len(p) // 4 for p in packed], out=ends[1:])
-                ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
-                yield pa.ListArray.from_arrays(pa.array(ends), ids)
+                ids, ends = encoder.encode_flat(texts.to_pylist())
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
 
         return _with_column(df, text_col, out, "array<int>", run)
 
@@ -455,10 +618,11 @@ class ByteTokenizer:
         """``df`` with the text of the ids; null ids give the empty text."""
         shared = self.shared
 
-        def run(slices_of_ids: Iterator[list]) -> Iterator[pa.Array]:
-            encoder = Encoder(shared.value)
+        def run(slices_of_ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            encoder, labels = Encoder(shared.value), pa.array(shared.value["labels"], pa.binary())
             for rows in slices_of_ids:
-                yield pa.array([encoder.decode(ids or []) for ids in rows], pa.string())
+                texts = joined(labels, rows)
+                yield pa.array([encoder.decode(ids or []) for ids in rows.to_pylist()], pa.string()) if texts is None else texts
 
         return _with_column(df, ids_col, out, "string", run)
 
