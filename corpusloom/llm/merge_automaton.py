@@ -260,41 +260,42 @@ class _Trie:
     """The byte trie as a double array: byte b leads from node n to ``base[n] + b``, if ``above`` there is n."""
 
     def __init__(self, automaton: Automaton):
-        children: dict[int, list[tuple[int, int]]] = {}
-        for key, child in automaton.trie.items():
-            children.setdefault(key >> 8, []).append((key & 255, child))
-        for below in children.values():
-            below.sort()
-        place = np.zeros(len(automaton.ends), dtype=np.int64)
-        base = np.zeros(len(automaton.ends), dtype=np.int64)
-        used = bytearray(b"\x01") + bytes(256 * (len(place) + 2))
+        n = len(automaton.trie)
+        keys, below = np.fromiter(automaton.trie, np.int64, n), np.fromiter(automaton.trie.values(), np.int64, n)
+        order = np.argsort(keys)
+        keys, below = keys[order], below[order]
+        nodes, first, sizes = np.unique(keys >> 8, return_index=True, return_counts=True)
+        codes, begin = (keys & 255).tolist(), np.zeros(len(nodes), dtype=np.int64)
+        used, top = bytearray(b"\x01") + bytes(1023), 0
         # Nodes with many children come first. Each takes the first free places from ``start``
         # on, which leaves what is nearly full behind; single children fill that.
         start = alone = 1
-        for node, below in sorted(children.items(), key=lambda x: -len(x[1])):
-            low, rest = below[0][0], [byte - below[0][0] for byte, _ in below[1:]]
+        for k in np.argsort(-sizes, kind="stable").tolist():
+            if top + 1024 > len(used):
+                used.extend(bytes(len(used)))
+            low, *rest = codes[first[k] : first[k] + sizes[k]]
             at, tries = used.find(0, max(low, start if rest else alone)), 0
-            while any(used[at + byte] for byte in rest):
+            while any(used[at - low + byte] for byte in rest):
                 at, tries = used.find(0, at + 1), tries + 1
             if rest:
                 start = at if tries > 16 else start
             elif at > low:
                 alone = at
-            base[node] = at - low
-            for byte, child in below:
+            begin[k] = at - low
+            for byte in (low, *rest):
                 used[at - low + byte] = 1
-                place[child] = at - low + byte
-        size = used.rfind(1) + 258
-        self.base, self.above, self.ends = (np.full(size, x, dtype=np.int32) for x in (0, -1, -1))
-        self.base[place], self.ends[place] = base, automaton.ends
-        parents = np.array([key >> 8 for key in automaton.trie], dtype=np.int64)
-        self.above[place[np.fromiter(automaton.trie.values(), np.int64, len(parents))]] = place[parents]
+            top = max(top, at - low + (rest[-1] if rest else low))
+        place = np.zeros(len(automaton.ends), dtype=np.int64)
+        place[below] = np.repeat(begin, sizes) + (keys & 255)
+        self.base, self.above, self.ends = (np.full(top + 258, x, dtype=np.int32) for x in (0, -1, -1))
+        self.base[place[nodes]], self.ends[place] = begin, automaton.ends
+        self.above[place[below]] = place[keys >> 8]
         # The longest token that ends at a node or above it. Children come after their parents.
         longest = list(automaton.ends)
         for key, child in automaton.trie.items():
             if longest[child] < 0:
                 longest[child] = longest[key >> 8]
-        self.longest = np.full(size, -1, dtype=np.int32)
+        self.longest = np.full(top + 258, -1, dtype=np.int32)
         self.longest[place] = longest
 
     def getter(self) -> Callable[[int, int], int]:
