@@ -5,10 +5,13 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,6 +228,63 @@ def test_unseen_characters_specials_and_long_words(spark):
     assert [r[0] is None for r in nulls.select(bpe.encode(F.col("text"), ours)).collect()] == [True, False, True]
 
 
+SMALL = bpe.BpeTokenizer((*bpe.SPECIAL_TOKENS, "a", "b", "ab"), ((4, 5, 6),))
+
+
+def merging_task(monkeypatch):
+    """What the encoder runs on the Arrow batches of a task."""
+    taken = {}
+    with monkeypatch.context() as patched:
+        patched.setattr(bpe.F, "arrow_udf", lambda kind: lambda run: taken.update(run=run) or (lambda column: column))
+        patched.setattr(bpe, "_words_and_specials", lambda text, specials: text)
+        bpe.encode(None, SMALL)
+    return taken["run"]
+
+
+def test_encoder_holds_little_beside_its_batch(monkeypatch):
+    """Five million words in a batch of 34 MB; one array of numbers of their ids took as much."""
+    words, rows = 5_000_000, 5_000
+    flat = pa.DictionaryArray.from_arrays(pa.array(np.arange(words, dtype=np.int32) % 3), pa.array(["ab", "b", "abab"])).dictionary_decode()
+    batch = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * (words // rows)), flat)
+    run, ids = merging_task(monkeypatch), 0
+    tracemalloc.start()
+    for part in run(iter([batch])):
+        ids += len(part.flatten())
+        del part
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids == sum([1, 1, 2][i % 3] for i in range(words)) and peak < 60e6
+
+
+def test_pieces_of_a_batch_equal_the_whole(monkeypatch):
+    monkeypatch.setattr(bpe, "ROWS_WORDS", 3, raising=False)
+    monkeypatch.setattr(bpe, "MERGED_BYTES", 2, raising=False)
+    monkeypatch.setattr(bpe, "GATHERED_WORDS", 2, raising=False)
+    rows = [None, ["ab", "c"], [], ["<s>", "abab", "b"], None, ["b", "a", "ab", "abb", "<pad>"], ["a"], [], None]
+    want = [None, [6, 0], [], [1, 6, 6, 5], None, [5, 4, 6, 6, 5, 3], [4], [], None]
+    run = merging_task(monkeypatch)
+    for kind in (pa.string(), pa.large_string()):
+        batch = pa.array(rows, pa.list_(kind))
+        parts = [p.to_pylist() for p in run(iter([batch, batch.slice(2, 5), batch.slice(4, 1)]))]
+        assert sum(parts, []) == [*want, *want[2:7], *want[4:5]]
+        assert max(sum(len(r or []) for r in p) for p in parts) == 6
+
+
+def test_texts_are_encoded_once_for_counting(spark, tmp_path):
+    """Ids that repeat or are null, no text, texts of spaces only, and special tokens inside."""
+    docs = [(1, "ab ab a"), (1, "ab b"), (2, None), (3, ""), (3, " \t"), (None, "a<s>ab"), (None, "a"), (4, "ab"), (4, "ab"), (5, "</s><pad> <s")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    counts = tokens.token_counts(spark, str(tmp_path), SMALL)
+    assert counts._jdf.queryExecution().executedPlan().toString().count("merge_rows(") == 1
+    n, found = Counter(), defaultdict(set)
+    for doc, text in docs:
+        for token in re.findall(r"<s>|</s>|<pad>|ab|a|b|[^\w\s]|s", text or ""):
+            token = token if token in SMALL.tokens else "<unk>"
+            n[token] += 1
+            found[token].add(doc)
+    assert {(r["token"], r["n"], r["n_docs"]) for r in counts.collect()} == {(t, n[t], len(found[t])) for t in n}
+
+
 def brute_pairs(texts, fraction):
     stream = "".join(texts)
     cut = math.floor(fraction * len(stream))
